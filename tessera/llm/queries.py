@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import gif
+from tessera.llm import bpe, gif
 from tessera.session import attach, table
 
 
@@ -14,6 +15,12 @@ def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.digests(gif.store_bytes(docs, "doc_id", "text"), "doc_id")
 
 
-QUERIES = {"op1_gif": op1_gif}
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the public word-end vocabulary and decoded again."""
+    docs = table(attach(spark), sf_dir, "documents")
+    return bpe.digests(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op1_gif": op1_gif, "op5_bpe": op5_bpe}
 
 ORACLE_SQL: dict[str, str] = {}
