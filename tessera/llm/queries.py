@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, gif
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, gif, simhash
 from tessera.session import attach, table
 
 
@@ -15,12 +17,18 @@ def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.digests(gif.store_bytes(docs, "doc_id", "text"), "doc_id")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest doc_id that links reach."""
+    found = simhash.near_duplicates(table(attach(spark), sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with the public word-end vocabulary and decoded again."""
     docs = table(attach(spark), sf_dir, "documents")
     return bpe.digests(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_gif": op1_gif, "op5_bpe": op5_bpe}
+QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe}
 
 ORACLE_SQL: dict[str, str] = {}
