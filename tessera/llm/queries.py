@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, gif, simhash, substrings
+from tessera.llm import bpe, gif, simhash, substrings, winnowing
 from tessera.session import attach, table
 
 
@@ -28,11 +28,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and their likeness and the next document's."""
+    return winnowing.compare_edited(table(attach(spark), sf_dir, "documents"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated 20-word windows."""
     return substrings.digests(substrings.dedup(table(attach(spark), sf_dir, "documents")))
 
 
-QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe, "op10_substrings": op10_substrings}
+QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe, "op8_winnowing": op8_winnowing, "op10_substrings": op10_substrings}
 
 ORACLE_SQL: dict[str, str] = {}
