@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, gif, simhash, substrings, winnowing
+from tessera.llm import bpe, gif, simhash, substrings, toxicity, winnowing
 from tessera.session import attach, table
 
 
@@ -33,11 +33,20 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(table(attach(spark), sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from labelled documents outside the held-out fold."""
+    docs, labels = table(attach(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = toxicity.crc_of_id() % 5 == 0
+    net, prior = toxicity.fit(docs, labels, ~held)
+    scored = toxicity.score(docs, net, prior=prior)
+    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated 20-word windows."""
     return substrings.digests(substrings.dedup(table(attach(spark), sf_dir, "documents")))
 
 
-QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe, "op8_winnowing": op8_winnowing, "op10_substrings": op10_substrings}
+QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe, "op8_winnowing": op8_winnowing, "op9_toxicity": op9_toxicity, "op10_substrings": op10_substrings}
 
 ORACLE_SQL: dict[str, str] = {}
