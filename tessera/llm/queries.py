@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, gif, simhash, substrings, toxicity, winnowing
+from tessera.llm import bpe, chat, gif, mixing, secrets, simhash, sql, substrings, toxicity, winnowing
 from tessera.session import attach, table
 
 
@@ -22,12 +22,31 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document gives to a mix of all sources; quality labels weigh the sampling."""
+    docs, labels = table(attach(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(mixing.sized(docs, labels)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings only, formatted and read back."""
+    there = table(attach(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(there.unionByName(own)))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with the public word-end vocabulary and decoded again."""
     docs = table(attach(spark), sf_dir, "documents")
     return bpe.digests(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; a document is its own repository, its source the owner."""
+    return secrets.report(secrets.scan(table(attach(spark), sf_dir, "documents")))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and their likeness and the next document's."""
     return winnowing.compare_edited(table(attach(spark), sf_dir, "documents"))
@@ -47,6 +66,16 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.dedup(table(attach(spark), sf_dir, "documents")))
 
 
-QUERIES = {"op1_gif": op1_gif, "op2_simhash": op2_simhash, "op5_bpe": op5_bpe, "op8_winnowing": op8_winnowing, "op9_toxicity": op9_toxicity, "op10_substrings": op10_substrings}
+QUERIES = {
+    "op1_gif": op1_gif,
+    "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
+    "op4_chat": op4_chat,
+    "op5_bpe": op5_bpe,
+    "op7_secrets": op7_secrets,
+    "op8_winnowing": op8_winnowing,
+    "op9_toxicity": op9_toxicity,
+    "op10_substrings": op10_substrings,
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op3_mixing": sql.MIXING, "op4_chat": sql.CHAT, "op7_secrets": sql.SECRETS}
