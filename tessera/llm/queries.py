@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, gif, mixing, secrets, simhash, sql, substrings, toxicity, winnowing
+from tessera.llm import bpe, chat, gif, language, mixing, secrets, simhash, sql, substrings, toxicity, winnowing
 from tessera.session import attach, table
 
 
@@ -42,6 +42,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from labelled documents outside the held-out fold."""
+    docs = table(attach(spark), sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = language.train(docs, ~held, public_tokenizers.path("piece_bpe_32k.model"))
+    return language.predict(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets; a document is its own repository, its source the owner."""
     return secrets.report(secrets.scan(table(attach(spark), sf_dir, "documents")))
@@ -58,7 +66,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = toxicity.crc_of_id() % 5 == 0
     net, prior = toxicity.fit(docs, labels, ~held)
     scored = toxicity.score(docs, net, prior=prior)
-    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +80,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_chat": op4_chat,
     "op5_bpe": op5_bpe,
+    "op6_language": op6_language,
     "op7_secrets": op7_secrets,
     "op8_winnowing": op8_winnowing,
     "op9_toxicity": op9_toxicity,
