@@ -1,11 +1,102 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: toxic documents go, near-duplicates go, secrets are masked, sources are mixed, texts encoded.
+
+Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of
+documents. Every stage reads only the documents that its predecessor kept. Rows are known by their
+id and a hash of their text, so ids that repeat do no harm.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, mixing, secrets, simhash, toxicity
+from tessera.session import attach, store, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A value that so many owners hold is a widely copied example and stays.
+EXAMPLE_OWNERS = 5
 
+#: No SQL: the first stage is a trained network.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _row() -> F.Column:
+    return F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    labels = table(attach(spark), sf_dir, "labels")
+    net, prior = toxicity.fit(docs, labels, F.lit(True))
+    scored = toxicity.score(docs, net, carry=tuple(COLUMNS[1:]), prior=prior)
+    return scored.where(F.col("score") < 0.5).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked fingerprints: the one with the smallest id."""
+    keyed = docs.select(*COLUMNS, _row().alias("row"))
+    found = simhash.near_duplicates(keyed, "row", "text")
+    first = found.select("component_id").distinct()
+    kept = keyed.join(first, keyed["row"].eqNullSafe(first["component_id"]), "left_semi")
+    return kept.dropDuplicates(["row"]).select(*COLUMNS)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets masked, but for widely copied examples.
+
+    Texts that hold no candidate do not move.
+    """
+    held = F.lit(False)
+    for test in secrets.TESTS.values():
+        held = held | F.coalesce(F.col("text"), F.lit("")).rlike(test)
+    flagged = docs.select(*COLUMNS, _row().alias("row"), held.alias("held"))
+    some = flagged.where("held")
+    scanned = secrets.scan(some, "row", "text", "row", "source")
+    live = F.filter("base", lambda s: s["owners"] < EXAMPLE_OWNERS)
+    spans = scanned.select("row", F.concat(live, "owned").alias("spans")).where(F.size("spans") > 0).dropDuplicates(["row"])
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.masked(F.col("text"), F.col("spans")))
+    changed = some.join(spans.withColumnRenamed("row", "r"), F.col("row").eqNullSafe(F.col("r")), "left").withColumn("text", text)
+    changed = changed.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return flagged.where("not held").select(*COLUMNS).unionByName(changed.select(*COLUMNS))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; one at a source's border gives its leading words."""
+    labels = table(attach(spark), sf_dir, "labels")
+    rows = mixing.sized(docs.select("doc_id", "text", "source", _row()["h"].alias("h")), labels, carry=("h",))
+    taken = mixing.mix(rows, carry=("h",)).where("taken > 0")
+    taken = taken.groupBy(F.struct("doc_id", "h").alias("r")).agg(F.sum("taken").alias("taken"), F.max("size").alias("size"))
+    keyed = docs.select(*COLUMNS, _row().alias("row")).dropDuplicates(["row"])
+    copies = F.floor(F.col("taken") / F.col("size")).cast("int")
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    parts = F.concat(F.array_repeat(F.lit(0), copies), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
+    dealt = keyed.join(taken, F.col("row").eqNullSafe(F.col("r"))).withColumn("words", F.explode(parts))
+    leading = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("words")), " ")
+    dealt = dealt.withColumn("text", F.when(F.col("words") == 0, F.col("text")).otherwise(leading))
+    return dealt.withColumn("n_chars", F.when(F.col("words") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text: doc_id, source, ids, n_tokens."""
+    attach(spark)
+    encoded = bpe.encode(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), carry=("source",))
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written to the shared folder and read again."""
+    docs = table(attach(spark), sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), "pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)

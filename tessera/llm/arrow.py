@@ -31,6 +31,12 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, type=kind)
+
+
 def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str | T.StructType, **limits: int) -> DataFrame:
     """``mapInArrow`` with a function from a slice to the columns of its results."""
     attach(df.sparkSession)
@@ -40,6 +46,6 @@ def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema
     def run(batches):
         for part in slices(batches, **limits):
             columns = function(part)
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow_schema], schema=arrow_schema)
+            yield pa.RecordBatch.from_arrays([_array(columns[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
 
     return df.mapInArrow(run, spark_schema)

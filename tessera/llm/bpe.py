@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.arrow import map_slices, texts
 
@@ -79,7 +81,7 @@ class Vocabulary:
         self.chars = byte_characters()
         self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, str, str]] = {}
+        self.words: dict[str, tuple[list[int], str, str]] = {}
 
     # -- cutting
 
@@ -206,13 +208,13 @@ class Vocabulary:
             proposals[k] = self.merge(self.base(spelt[k], True))
         strings = self.strings
         for w, p in zip(words, proposals):
-            self.words[w] = len(p), " ".join(map(str, p)), " ".join([strings[i] for i in p])
+            self.words[w] = p, " ".join(map(str, p)), " ".join([strings[i] for i in p])
         return {"words": len(words), "merged": int(bad.sum())}
 
     # -- whole texts
 
-    def encode_batch(self, batch: list[str]) -> list[list[tuple[int, str, str]]]:
-        """For each text its words as (number of ids, ids joined, tokens joined)."""
+    def encode_batch(self, batch: list[str]) -> list[list[tuple[list[int], str, str]]]:
+        """For each text its words as (ids, ids joined, tokens joined)."""
         cut: list[list[str | int]] = []
         for text in batch:
             if self.special is not None and any(a in text for a in self.added):
@@ -231,10 +233,10 @@ class Vocabulary:
                 known.clear()
                 new = {w for parts in cut for w in parts if not isinstance(w, int)}
             self.learn(sorted(new))
-        return [[(1, str(w), self.strings[w]) if isinstance(w, int) else known[w] for w in parts] for parts in cut]
+        return [[([w], str(w), self.strings[w]) if isinstance(w, int) else known[w] for w in parts] for parts in cut]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for _, ids, _ in self.encode_batch([text or ""])[0] for i in ids.split()]
+        return [i for ids, _, _ in self.encode_batch([text or ""])[0] for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.strings[i] for i in ids)
@@ -246,16 +248,19 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
-    """(key, ids array<int>): every whole text's token ids."""
-    kind = df.schema[key].dataType.simpleString()
+def encode(df: DataFrame, key: str, text: str, path: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, *carry, ids array<int>): every whole text's token ids."""
+    names = [key, *carry]
 
     def run(part: pa.RecordBatch) -> dict:
-        v = vocabulary(path)
-        got = v.encode_batch(texts(part.column(1)))
-        return {key: part.column(0), "ids": [[int(i) for _, ids, _ in words for i in ids.split()] for words in got]}
+        got = vocabulary(path).encode_batch(texts(part.column(len(names))))
+        ends = np.cumsum([0, *(sum(len(ids) for ids, _, _ in words) for words in got)])
+        flat = np.fromiter((i for words in got for ids, _, _ in words for i in ids), np.int32, int(ends[-1]))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        return {n: part.column(k) for k, n in enumerate(names)} | {"ids": ids}
 
-    return map_slices(df.select(key, text), run, f"`{key}` {kind}, ids array<int>", size=2 << 20)
+    schema = df.select(*names).schema.add("ids", T.ArrayType(T.IntegerType()))
+    return map_slices(df.select(*names, F.col(text).alias("__text")), run, schema, size=2 << 20)
 
 
 def decode(df: DataFrame, key: str, ids: str, path: str) -> DataFrame:
@@ -280,8 +285,8 @@ def digests(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
         v = vocabulary(path)
         n, ids, decoded = [], [], []
         for words in v.encode_batch(texts(part.column(1))):
-            counts, numbers, strings = zip(*words) if words else ((), (), ())
-            n.append(sum(counts))
+            each, numbers, strings = zip(*words) if words else ((), (), ())
+            n.append(sum(map(len, each)))
             ids.append(hashlib.sha256(" ".join(numbers).encode()).hexdigest())
             decoded.append(hashlib.sha256(" ".join(strings).encode("utf-8")).hexdigest())
         return {key: part.column(0), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}

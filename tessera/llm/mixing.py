@@ -44,17 +44,17 @@ def quality_weights(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return known.select(key, F.when(F.col("q") == 1, QUALITY[1]).otherwise(QUALITY[0]).alias("quality_weight"))
 
 
-def sized(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source, size, sampling key) without the texts, as a table in the shared folder."""
+def sized(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, key) without the texts, as a table in the shared folder; ``key`` orders the sampling."""
     attach(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"), *carry)
     weight = F.lit(1.0)
     if labels is not None:
         rows = rows.join(quality_weights(labels, key).withColumnRenamed(key, "doc_id"), "doc_id", "left")
         weight = F.coalesce("quality_weight", weight)
     # 52 bits of a hash; one half keeps u inside (0, 1)
     u = (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
-    return store(rows.select("doc_id", "source", "size", (-F.log(u) / weight).alias("key")), "mixing")
+    return store(rows.select("doc_id", "source", "size", (-F.log(u) / weight).alias("key"), *carry), "mixing")
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -79,8 +79,8 @@ def targets(rows: DataFrame) -> DataFrame:
     return by.select("source", "source_size", "n", "weight", target.alias("target"))
 
 
-def mix(rows: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for the rows of :func:`sized`."""
+def mix(rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, *carry) for the rows of :func:`sized`."""
     by = targets(rows)
     # words to take: complete epochs, and a budget for the fractional selection
     whole = F.when(F.col("source_size") > 0, F.floor(F.round(F.col("target")) / F.col("source_size"))).otherwise(0)
@@ -91,7 +91,7 @@ def mix(rows: DataFrame) -> DataFrame:
     same = rows["source"].eqNullSafe(by["source"])
     # 1 - exp(-key) is even over (0, 1) for weight 1; other weights only make bins uneven
     bin_of = F.least(F.floor((1 - F.exp(-rows["key"])) * F.col("bins")), F.col("bins") - 1).cast("long")
-    placed = rows.join(by, same).select("doc_id", rows["source"], "size", "key", "source_size", "target", "epochs", "budget", bin_of.alias("bin"))
+    placed = rows.join(by, same).select("doc_id", rows["source"], "size", "key", "source_size", "target", "epochs", "budget", bin_of.alias("bin"), *carry)
     sums = placed.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = store(sums.select("source", "bin", "bin_size", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0)).alias("before")), "bins")
@@ -104,7 +104,7 @@ def mix(rows: DataFrame) -> DataFrame:
     last = last.select(F.col("source").alias("s3"), "full")
     marks = marks.join(last, F.col("source").eqNullSafe(F.col("s3")), "left").select(F.col("source").alias("s"), "border", "before", "full")
     dealt = placed.join(store(marks, "borders"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    out = ["doc_id", "source", "size", "source_size", "target"]
+    out = ["doc_id", "source", "size", "source_size", "target", *carry]
     clear = dealt.where(~F.col("bin").eqNullSafe(F.col("border")))
     extra = F.when(F.col("bin") <= F.coalesce("full", F.lit(-1)), F.col("size")).otherwise(0)
     clear = clear.select(*out, (F.col("epochs") * F.col("size") + extra).alias("taken"))

@@ -38,6 +38,13 @@ PATTERNS = {
 }
 ASSIGNED = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 LONG_RUN = "[A-Za-z0-9+/_=-]{20,}"
+#: Cheap tests, true for every text with a match of the kind.
+TESTS = {
+    "assign": "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]",
+    "access": "AKIA[A-Z0-9]{14}",
+    "hex": "[0-9a-f]{16}",
+    "owned": "[A-Za-z0-9+/_=-]{20}",
+}
 
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -71,19 +78,14 @@ def _empty() -> Column:
 def candidates(text: Column) -> dict[str, Column]:
     """Spans of each kind in a text; a cheap test keeps texts without a match from being cut up."""
     t = F.coalesce(text, F.lit(""))
-    tests = {
-        "assign": "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]",
-        "access": "AKIA[A-Z0-9]{14}",
-        "hex": "[0-9a-f]{16}",
-    }
     # shorter runs always fail, and never hold a longer one: the minimum can be part of the pattern
     patterns = PATTERNS | {"access": "AKIA[A-Z0-9]{14,}", "hex": "[0-9a-f]{16,}"}
     assigned = lambda m: F.regexp_replace(m, ASSIGNED, "")
     out = {}
     for k, kind in enumerate(KINDS[:3]):
         value = assigned if kind == "assign" else (lambda m: m)
-        out[kind] = F.when(t.rlike(tests[kind]), _matches(t, k, patterns[kind], value, SHORTEST[kind])).otherwise(_empty())
-    long = F.when(t.rlike("[A-Za-z0-9+/_=-]{20}"), _matches(t, 3, LONG_RUN, lambda m: m, 20)).otherwise(_empty())
+        out[kind] = F.when(t.rlike(TESTS[kind]), _matches(t, k, patterns[kind], value, SHORTEST[kind])).otherwise(_empty())
+    long = F.when(t.rlike(TESTS["owned"]), _matches(t, 3, LONG_RUN, lambda m: m, 20)).otherwise(_empty())
     out["owned"] = F.filter(long, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     return out
 

@@ -1,20 +1,20 @@
 """Toxicity: a convolutional text classifier trained in numpy.
 
-Words are runs of letters, lower-cased. A word's embedding is the mean of the hashed vectors of the
+Words are runs of letters, lower-cased. A word's embedding is the sum of the hashed vectors of the
 word and of its beginnings and endings, so that inflected forms share most of it. Filters of
 several widths slide over the words; each filter's largest response over the whole text is its
 feature, and one linear layer scores the features. Training (Adam, mini-batches, fixed seed) uses a
 bounded, documented sample of the labelled rows: up to ``SAMPLE`` of each label, those with the
 smallest hash of their id. Batches hold as many toxic as other texts. Parts that fewer than
-``LEAST`` of the texts hold have no vector, so words that training has not met say nothing. A held-back fifth of the sample calibrates: for each language a
-threshold on the logit is chosen and the score is the logistic function of the distance from it.
-The language is guessed from the text itself by frequent function words, so no column but the text
+``LEAST`` of the texts hold have no vector, so words that training has not met say nothing. A
+held-back fifth of the sample calibrates: for each language a threshold on the logit is chosen and
+the score is the logistic function of the distance from it. The language is guessed from the text itself by frequent function words, so no column but the text
 enters a score; texts without any such word use the threshold of all languages together.
 
 Cases: null and empty texts have no words, and score as a text whose features are all zero; ties
 and repeated rows score equal; rows of unknown or null label are not learned from; without labels of
-both kinds every score is the share of toxic labels (0 without any) and below 0.5; an empty table gives an empty result;
-columns beyond those named are not read. Very long texts are scored whole, in stretches of words
+both kinds every score is the share of toxic labels (0 without any), and below one half; an empty
+table gives an empty result; columns beyond those named are not read. Very long texts are scored whole, in stretches of words
 that overlap by the widest filter.
 """
 
@@ -351,13 +351,14 @@ def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str =
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(net)
     names = [key, *carry]
+    at = names.index(text) if text in names else len(names)
 
     def run(part: pa.RecordBatch) -> dict:
-        batch = texts(part.column(part.schema.names.index("__text")))
+        batch = texts(part.column(at))
         got = [prior] * len(batch) if shared.value is None else scorer(shared).scores(batch)
         return {n: part.column(k) for k, n in enumerate(names)} | {"score": got}
 
-    df = docs.select(*names, F.col(text).alias("__text"))
+    df = docs.select(*names) if text in names else docs.select(*names, text)
     schema = docs.select(*names).schema.add("score", "double")
     return map_slices(df, run, schema, rows=256, size=1 << 20)
 
