@@ -1,7 +1,371 @@
-"""The queries of the knowledge-base operators and their SQL."""
+"""The queries of the knowledge-base operators and their SQL.
+
+Each takes (spark, sf_dir) and gives a DataFrame; the tables stand in for the engine's own (see
+FIXTURES.md): conversations for questions and answers, documents for entries, labels for gate flags,
+events for call records, pages for links.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import text as X
+from tessera.operators import candidates, grouping, provenance, similarity, state, validation
+from tessera.session import attach, table
 
+QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its name, with its SQL if there is one."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with an id of their own."""
+    t = table(attach(spark), sf_dir, "conversations")
+    return t.withColumn("ord", F.col("conv_id") * 1000 + F.col("turn"))
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries: a user turn and the assistant turn behind it."""
+    t = table(attach(spark), sf_dir, "conversations")
+    u = t.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
+    a = t.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    e = u.join(a, ["conv_id", "turn"])
+    return e.select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "question", "answer", F.concat(F.lit("c"), F.col("turn") % 3).alias("category"), "conv_id", "turn")
+
+
+# SQL pieces that several queries share
+_NORM = r"trim(regexp_replace(regexp_replace(replace(lower({0}), 'ё', 'е'), '[^а-яёa-z0-9 ]+', ' ', 'g'), '\s+', ' ', 'g'))"
+_GRAMS = "CASE WHEN length({0}) = 0 THEN [] WHEN length({0}) <= 3 THEN [{0}] ELSE list_distinct(list_transform(range(1, length({0}) - 1), lambda i: substr({0}, i, 3))) END"
+_ORD = "conv_id * 1000 + turn"
+_PAIRS = """e AS (
+  SELECT u.conv_id * 1000 + u.turn AS ord, u.text AS question, a.text AS answer, 'c' || (u.turn % 3) AS category, u.conv_id, u.turn
+  FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn - 1 = u.turn
+  WHERE u.role = 'user' AND a.role = 'assistant'
+)"""
+
+
+def _grams_of(source: str, id: str, text: str, cat: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT id, cat, {_GRAMS.format('n')} AS gs FROM (SELECT {id} AS id, {cat} AS cat, {_NORM.format(f"coalesce({text}, '')")} AS n FROM {source})
+)"""
+
+
+def _self_join(source: str, id: str, text: str, cat: str, same: float, cross: float, pre: str = "") -> str:
+    return f"""
+WITH {pre} {_grams_of(source, id, text, cat, 't')}, x AS (SELECT id, unnest(gs) AS g FROM t),
+s AS (SELECT a.id AS i, b.id AS j, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
+r AS (SELECT i, j, shared / (len(p.gs) + len(q.gs) - shared) AS similarity, p.cat IS NOT DISTINCT FROM q.cat AS same
+  FROM s JOIN t p ON p.id = i JOIN t q ON q.id = j)
+SELECT i, j, similarity FROM r WHERE similarity >= CASE WHEN same THEN {same} ELSE {cross} END
+"""
+
+
+@query(rf"""
+SELECT doc_id, sha256({_NORM.format('text')}) AS normal_sha256, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))::INT AS n_words
+FROM documents
+""")
+def text_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised text and words of every document."""
+    d = table(attach(spark), sf_dir, "documents")
+    t = F.col("text")
+    return d.select("doc_id", F.sha2(X.normalize(t), 256).alias("normal_sha256"), X.word_count(t).alias("n_words"))
+
+
+@query(f"WITH {_grams_of('conversations', _ORD, 'text', 'NULL', 't')} SELECT id AS ord, len(gs)::INT AS n_trigrams FROM t")
+def trigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct trigrams of every turn."""
+    return _turns(spark, sf_dir).select("ord", F.size(X.trigrams(F.coalesce("text", F.lit("")))).alias("n_trigrams"))
+
+
+@query(_self_join("conversations", _ORD, "text", "NULL", 0.32, 0.32))
+def trigram_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar turns."""
+    return similarity.trigram_pairs(_turns(spark, sf_dir), "ord", "text", 0.32)
+
+
+@query(_self_join("conversations", _ORD, "text", "role", 0.32, 0.55))
+def trigram_self_join_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar turns, with a higher threshold between roles."""
+    return similarity.trigram_pairs(_turns(spark, sf_dir), "ord", "text", 0.32, 0.55, "role")
+
+
+@query(rf"""
+WITH {_grams_of("(SELECT conv_id * 1000 + turn AS i, text, role FROM conversations WHERE conv_id % 2 = 0)", "i", "text", "role", "n")},
+{_grams_of("(SELECT conv_id * 1000 + turn AS i, text, role FROM conversations WHERE conv_id % 2 = 1)", "i", "text", "role", "b")},
+x AS (SELECT id, unnest(gs) AS g FROM n), y AS (SELECT id, unnest(gs) AS g FROM b),
+s AS (SELECT x.id AS new_id, y.id AS base_id, count(*) AS shared FROM x JOIN y ON x.g = y.g GROUP BY 1, 2),
+r AS (SELECT new_id, base_id, shared / (len(p.gs) + len(q.gs) - shared) AS similarity, p.cat = q.cat AS same
+  FROM s JOIN n p ON p.id = new_id JOIN b q ON q.id = base_id)
+SELECT new_id, base_id, similarity FROM r WHERE similarity >= CASE WHEN same THEN 0.28 ELSE 0.50 END
+""")
+def trigram_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of even conversations like turns of odd ones: a new table against a base."""
+    t = _turns(spark, sf_dir)
+    return similarity.trigram_matches(t.where("conv_id % 2 = 0"), t.where("conv_id % 2 = 1"), "ord", "text", 0.28, 0.50, "role")
+
+
+_COSINE = "CASE WHEN list_dot_product(a.e, a.e) = 0 OR list_dot_product(b.e, b.e) = 0 THEN 0 ELSE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) END"
+
+
+@query(rf"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT a.vec_id AS i, b.vec_id AS j, {_COSINE} AS c FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+k AS (SELECT i, j FROM s WHERE c >= 0.30 QUALIFY row_number() OVER (PARTITION BY i ORDER BY c DESC, j) <= 8)
+SELECT DISTINCT least(i, j) AS i, greatest(i, j) AS j FROM k
+""")
+def neighbour_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of vectors of which one is among the other's eight nearest."""
+    v = table(attach(spark), sf_dir, "embeddings")
+    return similarity.neighbour_pairs(v, "vec_id", "embedding", 8, 0.30).select("i", "j")
+
+
+@query(rf"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT a.vec_id AS new_id, b.vec_id AS base_id, {_COSINE} AS c FROM v a JOIN v b ON a.vec_id % 2 = 0 AND b.vec_id % 2 = 1)
+SELECT new_id, base_id FROM s WHERE c >= 0.30 QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY c DESC, base_id) <= 8
+""")
+def neighbour_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For vectors of even id the eight nearest of odd id."""
+    v = table(attach(spark), sf_dir, "embeddings")
+    return similarity.neighbour_matches(v.where("vec_id % 2 = 0"), v.where("vec_id % 2 = 1"), "vec_id", "embedding", 8, 0.30).select("new_id", "base_id")
+
+
+def _flagged(where: str, text: str, cat: str, same: float, cross: float) -> str:
+    return _self_join("e", "ord", text, cat, same, cross).strip().replace("WITH  ", f"WITH {_PAIRS}, ", 1)
+
+
+@query(rf"""
+WITH q AS ({_flagged('', 'question', 'category', 0.32, 0.55)}), a AS ({_flagged('', 'answer', 'NULL', 0.78, 0.78)}),
+u AS (SELECT i, j, true AS by_question, false AS by_answer FROM q UNION ALL SELECT i, j, false, true FROM a)
+SELECT i, j, bool_or(by_question) AS by_question, bool_or(by_answer) AS by_answer, false AS by_embedding FROM u GROUP BY i, j
+""")
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates among question-answer pairs, with the signals that found them."""
+    return candidates.candidate_pairs(_pairs(spark, sf_dir))
+
+
+@query(rf"""
+WITH q AS ({_flagged('', 'question', 'NULL', 0.2, 0.2)})
+SELECT i, j, true AS by_question, false AS by_answer, false AS by_embedding FROM q
+""")
+def base_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for cleaning a base without embeddings: questions only, whatever the category."""
+    return candidates.base_candidates(_pairs(spark, sf_dir))
+
+
+@query(r"""
+WITH s AS (SELECT page_id, 'see ' || url || '. Also ' || url || ', or http://x.test/' || page_id || '!' AS t FROM pages)
+SELECT page_id, list_transform(regexp_extract_all(t, 'https?://[^\s«»"<>]+'), lambda l: regexp_replace(l, '[.,;:!?)]+$', '')) AS links FROM s
+""")
+def link_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of composed sentences, without the punctuation behind them."""
+    p = table(attach(spark), sf_dir, "pages")
+    t = F.concat(F.lit("see "), "url", F.lit(". Also "), "url", F.lit(", or http://x.test/"), F.col("page_id").cast("string"), F.lit("!"))
+    return p.select("page_id", X.find_links(t).alias("links"))
+
+
+@query(r"""
+SELECT p.page_id, list_filter([p.url, coalesce(o.url, 'http://none.test/')], lambda l: NOT contains(p.url || ' x', l)) AS invented
+FROM pages p LEFT JOIN pages o ON o.page_id = p.page_id + 1
+""")
+def invented_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of an answer (this page and the next) that its source (this page) does not hold."""
+    p = table(attach(spark), sf_dir, "pages")
+    o = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("other"))
+    answer = F.concat("url", F.lit(" "), F.coalesce("other", F.lit("http://none.test/")))
+    return p.join(o, "page_id", "left").select("page_id", X.invented_links(answer, F.concat("url", F.lit(" x"))).alias("invented"))
+
+
+_DIGITS = "list_distinct(list_transform(regexp_extract_all({}, '[0-9]+'), lambda n: regexp_replace(n, '^0+([0-9])', '\\1')))"
+
+
+@query(rf"""
+WITH s AS (SELECT a.doc_id, coalesce(a.text, '') AS answer, coalesce(b.text, '') AS source FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1),
+k AS (SELECT doc_id, regexp_extract_all(regexp_replace(answer, '(^|\n)[0-9]{{1,2}}[.)]\s+', '\1', 'g'), '[0-9]+') AS found, {_DIGITS.format('source')} AS known FROM s)
+SELECT doc_id, len(list_filter(found, lambda n: NOT list_contains(known, regexp_replace(n, '^0+([0-9])', '\1'))
+  AND NOT (length(n) = 4 AND n[1:2] = '20' AND list_contains(known, regexp_replace(n[3:4], '^0+([0-9])', '\1')))))::INT AS n_invented
+FROM k
+""")
+def invented_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of each document that the next one does not have."""
+    d = table(attach(spark), sf_dir, "documents")
+    o = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other"))
+    found = X.invented_numbers(F.coalesce("text", F.lit("")), F.coalesce("other", F.lit("")))
+    return d.join(o, "doc_id", "left").select("doc_id", F.size(found).alias("n_invented"))
+
+
+@query(r"""
+WITH g AS (SELECT doc_id, quality = 1 AS q, toxic = 0 AS t, quality = 1 AND toxic = 0 AS c FROM labels),
+f AS (SELECT doc_id, list_filter([CASE WHEN q IS NOT TRUE THEN 'reusable_question' END, CASE WHEN t IS NOT TRUE THEN 'general_answer' END,
+  CASE WHEN c IS NOT TRUE THEN 'complete_answer' END], lambda x: x IS NOT NULL) AS failed FROM g)
+SELECT CASE WHEN len(failed) > 1 THEN 'filter:' || array_to_string(failed, ',') END AS reason, count(*) AS n FROM f GROUP BY 1
+""")
+def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the gate gives each reason; labels stand in for a model's flags."""
+    l = table(attach(spark), sf_dir, "labels")
+    q, t = F.col("quality") == 1, F.col("toxic") == 0
+    failed = validation.failed_flags({"reusable_question": q, "general_answer": t, "complete_answer": q & t})
+    return l.select(validation.gate(failed)["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(rf"""
+WITH {_PAIRS}, w AS (SELECT *, len(list_filter(regexp_split_to_array(question, '\\s+'), lambda w: w <> '')) AS nq,
+  len(list_filter(regexp_split_to_array(answer, '\\s+'), lambda w: w <> '')) AS na, trim(question, e' \t\n\r') AS q, trim(answer, e' \t\n\r') AS a FROM e)
+SELECT ord, CASE WHEN category NOT IN ('c0', 'c2') THEN 'unknown_category:' || category WHEN q = '' OR a = '' THEN 'empty_fields'
+  WHEN nq > 150 THEN 'question_too_long' WHEN na > 30 THEN 'answer_too_long' END AS reason FROM w
+""")
+def entry_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rule that each question-answer pair breaks; the answer is its own source."""
+    e = _pairs(spark, sf_dir)
+    return e.select("ord", validation.validate(F.col("category"), F.col("question"), F.col("answer"), F.concat("question", F.lit(" "), "answer"), ["c0", "c2"], 30).alias("reason"))
+
+
+_GROUPED = """d AS (SELECT doc_id, md5(text) AS g, source, lang FROM documents WHERE text IS NOT NULL)"""
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries; copies of a text are a group."""
+    d = table(attach(spark), sf_dir, "documents").where("text is not null")
+    return d.select(
+        "doc_id", F.md5("text").alias("g"), F.col("source").alias("source_file"), F.array(F.col("doc_id").cast("int")).alias("source_rows"),
+        F.create_map(F.lit("lang"), "lang", F.lit("place"), F.concat("source", F.lit("| "), "lang")).alias("source_columns"),
+        F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("doubt "), F.col("doc_id") % 3)).alias("doubtful"),
+    )
+
+
+@query(rf"""
+WITH {_GROUPED}, f AS (SELECT g, source, min(doc_id) AS at FROM d GROUP BY g, source), n AS (SELECT g, min(doc_id) AS first FROM d GROUP BY g),
+s AS (SELECT g, string_agg(source, '; ' ORDER BY at) AS source_file FROM f WHERE source <> '' GROUP BY g),
+p AS (SELECT g, part, min((doc_id, k)) AS at FROM (SELECT g, doc_id, 0 AS k, source AS part FROM d UNION ALL SELECT g, doc_id, 1, lang FROM d) GROUP BY g, part),
+c AS (SELECT g, string_agg(part, '| ' ORDER BY at) AS place FROM p GROUP BY g),
+r AS (SELECT g, string_agg(DISTINCT doc_id::INT::VARCHAR, ',' ORDER BY doc_id::INT::VARCHAR) AS source_rows FROM d GROUP BY g),
+x AS (SELECT g, doc_id % 3 AS m, min(doc_id) AS at FROM d GROUP BY g, m),
+y AS (SELECT g, CASE WHEN bool_and(m > 0) THEN string_agg('doubt ' || m, '; ' ORDER BY at) END AS doubtful FROM x GROUP BY g)
+SELECT first AS doc_id, source_file, place, source_rows, doubtful FROM n JOIN s USING (g) JOIN c USING (g) JOIN r USING (g) JOIN y USING (g)
+""")
+def provenance_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files, columns, rows and doubts of each group of copies."""
+    e = _entries(spark, sf_dir)
+    first = e.groupBy("g").agg(F.min("doc_id").alias("doc_id"))
+    merged = first.join(provenance.merge_sources(e, "g", "doc_id"), "g").join(provenance.merge_columns(e, "g", "doc_id"), "g").join(provenance.merge_doubts(e, "g", "doc_id"), "g")
+    rows = F.array_join(F.array_sort(F.transform("source_rows", lambda r: r.cast("string"))), ",")
+    return merged.select("doc_id", "source_file", F.col("source_columns")["place"].alias("place"), rows.alias("source_rows"), "doubtful")
+
+
+@query(r"""
+SELECT a.doc_id, sha256(trim(a.text, e' \t\n\r')) AS hash FROM documents a
+WHERE a.doc_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM documents b WHERE b.doc_id % 2 = 1 AND sha256(trim(b.text, e' \t\n\r')) = sha256(trim(a.text, e' \t\n\r')))
+""")
+def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even documents whose content hash no odd one has: what a ledger of the odd ones leaves to do."""
+    d = table(attach(spark), sf_dir, "documents").select("doc_id", X.content_hash(F.col("text")).alias("hash"))
+    done = d.where("doc_id % 2 = 1").select("hash")
+    return state.cached(d.where("doc_id % 2 = 0"), state.pending(d.where("doc_id % 2 = 0"), done, ["hash"]), ["hash"]).select("doc_id", "hash")
+
+
+@query(r"""
+SELECT doc_id FROM documents d WHERE doc_id % 5 <> 0 AND NOT EXISTS (
+  SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0 AND l.toxic = 1)
+""")
+def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows still to do: every fifth is accepted, labels give verdicts and failures."""
+    d = table(attach(spark), sf_dir, "documents").select(F.col("doc_id").alias("row_number"))
+    accepted = d.where("row_number % 5 = 0").select(F.array("row_number").alias("source_rows"))
+    reason = F.when((F.col("quality") == 0) & (F.col("toxic") == 1), "filter:a,b").otherwise("filter_failed")
+    rejected = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("source_row"), reason.alias("reason"))
+    return state.unfinished(d, accepted, rejected).select(F.col("row_number").alias("doc_id"))
+
+
+@query(r"""
+SELECT DISTINCT md5(text) AS hash FROM documents WHERE doc_id % 3 = 0 AND md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id % 3 = 1 AND text IS NOT NULL)
+""")
+def removed_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes that one third of the documents has and another lacks."""
+    d = table(attach(spark), sf_dir, "documents").select("doc_id", F.md5("text").alias("hash"))
+    return state.removed(d.where("doc_id % 3 = 0"), d.where("doc_id % 3 = 1"))
+
+
+@query(r"""
+SELECT event_type AS caller, count(*) AS n, count(*) FILTER (event_id % 7 = 0) AS failed, count(*) FILTER (event_id % 11 = 0 AND event_id % 7 <> 0) AS limited,
+  0::BIGINT AS blocked, round(avg(value), 6) AS avg_s, max(value) AS max_s, round(sum(value), 4) AS total_s FROM events GROUP BY 1
+""")
+def call_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls by caller; event types stand in for callers, values for seconds."""
+    e = table(attach(spark), sf_dir, "events")
+    result = F.when(F.col("event_id") % 7 == 0, "error: x").when(F.col("event_id") % 11 == 0, "429").otherwise("ok")
+    s = state.call_summary(e.select(F.col("event_type").alias("caller"), F.col("value").alias("seconds"), result.alias("result")))
+    return s.select("caller", "n", "failed", "limited", "blocked", F.round("avg_s", 6).alias("avg_s"), "max_s", F.round("total_s", 4).alias("total_s"))
+
+
+@query(f"WITH {_PAIRS} SELECT ord, question, answer, category FROM e")
+def pair_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns with the assistant's turns behind them."""
+    return _pairs(spark, sf_dir).select("ord", "question", "answer", "category")
+
+
+def _edges(spark: SparkSession, sf_dir: str, least: float = 0.32) -> tuple[DataFrame, DataFrame]:
+    e = _pairs(spark, sf_dir)
+    return e, similarity.trigram_pairs(e, "ord", "question", least)
+
+
+@query()
+def representative_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy groups of question-answer pairs (no SQL: the result depends on a visiting order)."""
+    e, edges = _edges(spark, sf_dir, 0.5)
+    return grouping.representatives(e, edges)
+
+
+@query()
+def missing_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that greedy groups suggest but no edge joins."""
+    e, edges = _edges(spark, sf_dir, 0.5)
+    return grouping.missing_pairs(grouping.representatives(e, edges), edges)
+
+
+@query()
+def same_answer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters inside greedy groups along edges of like answers."""
+    e, edges = _edges(spark, sf_dir, 0.5)
+    relation = F.when((F.col("i") + F.col("j")) % 2 == 0, "same").otherwise("alternatives")
+    return grouping.same_clusters(grouping.representatives(e, edges), edges.withColumn("relation", relation))
+
+
+@query()
+def one_to_one_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy one-to-one matches between turns of even and of odd conversations."""
+    m = trigram_cross_join(spark, sf_dir).where("similarity >= 0.5")
+    return grouping.one_to_one(m.select(F.col("new_id").alias("new_index"), F.col("base_id").alias("base_index")))
+
+
+@query(r"""
+WITH b AS (SELECT doc_id AS ord, md5(text) AS h FROM documents WHERE doc_id % 2 = 0), m AS (SELECT max(ord) AS last FROM b), a AS (SELECT min(doc_id) AS first FROM documents WHERE doc_id % 2 = 1)
+SELECT ord, CASE WHEN ord % 10 = 0 THEN 'new' ELSE h END AS h FROM b
+UNION ALL SELECT doc_id - first + last + 1, md5(text) FROM documents, m, a WHERE doc_id % 2 = 1
+""")
+def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even documents with every tenth replaced, odd ones added behind."""
+    d = table(attach(spark), sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.md5("text").alias("h"))
+    base = d.where("ord % 2 = 0")
+    return state.upsert(base, base.where("ord % 10 = 0").withColumn("h", F.lit("new")), d.where("ord % 2 = 1")).select("ord", "h")
+
+
+@query(r"""
+SELECT 0 AS position, 'doc_id' AS "column", 'bigint' AS dtype, count(*) AS rows FROM documents
+UNION ALL SELECT 1, 'text', 'string', count(*) FROM documents UNION ALL SELECT 2, 'lang', 'string', count(*) FROM documents
+UNION ALL SELECT 3, 'source', 'string', count(*) FROM documents UNION ALL SELECT 4, 'n_chars', 'bigint', count(*) FROM documents
+""")
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns, types and row counts of documents (samples are first values, so without an order)."""
+    return state.profile(table(attach(spark), sf_dir, "documents")).drop("sample")
