@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow import map_slices, texts
@@ -181,23 +181,32 @@ def links(nodes: DataFrame, fp: str = "fp") -> DataFrame:
     return dealt.repartition(n, "key").sortWithinPartitions("key", "fp").mapInArrow(join, "u long, v long")
 
 
+def few(spark) -> int:
+    """Files for a narrow table: small ones on a cluster cost more than they save."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of the edges with the smallest node of its component.
 
     Large-star joins each node's larger neighbours to its smallest neighbour, small-star the
-    smaller ones and itself; the rounds end when no edge changes. Each round is a table.
+    smaller ones and itself; the rounds end when no edge changes. A round is two exchanges by node
+    (a window over a node's edges each, which spills and never gains rows) and a written table.
     """
     u, v = F.col("u"), F.col("v")
-    now = store(edges.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "edges")
+    node = Window.partitionBy("u")
+    files = few(edges.sparkSession)
+    now = store(edges.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct().coalesce(files), "edges")
     sign = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     was = sign(now)
     while True:
-        both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), u).alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
-        new = store(small.union(least.select("u", "m")).distinct(), "edges")
+        both = now.union(now.select("v", "u")).withColumn("m", F.least(F.min("v").over(node), u))
+        large = both.where(v > u).select(v.alias("u"), F.col("m").alias("v"))
+        first = F.row_number().over(node.orderBy("v")) == 1
+        least = large.withColumns({"m": F.min("v").over(node), "first": first})
+        # the node itself once, and each other neighbour
+        pair = F.when(F.col("first"), F.struct(u.alias("u"), F.col("m").alias("v"))).when(v != F.col("m"), F.struct(v.alias("u"), F.col("m").alias("v")))
+        new = store(least.select(pair.alias("e")).where("e is not null").select("e.u", "e.v").coalesce(files), "edges")
         forget(now)
         now, sig = new, sign(new)
         if sig == was:
@@ -208,9 +217,10 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp, component_id): one row for each of the input's."""
     spark = attach(df.sparkSession)
-    docs = store(fingerprints(df, key, text), "fingerprints")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = store(fingerprints(df, key, text).repartition(n).coalesce(few(spark)), "fingerprints")
     nodes = docs.groupBy("fp").agg(F.min(key).alias("first"))
-    roots = components(store(links(nodes), "links"))
+    roots = components(store(links(nodes).coalesce(2 * few(spark)), "links"))
     linked_nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     named = linked_nodes.join(nodes, linked_nodes.node == nodes.fp).select("root", "fp", "first")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
