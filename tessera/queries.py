@@ -246,13 +246,13 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(rf"""
-WITH {_GROUPED}, f AS (SELECT g, source, min(doc_id) AS at FROM d GROUP BY g, source), n AS (SELECT g, min(doc_id) AS first FROM d GROUP BY g),
-s AS (SELECT g, string_agg(source, '; ' ORDER BY at) AS source_file FROM f WHERE source <> '' GROUP BY g),
-p AS (SELECT g, part, min((doc_id, k)) AS at FROM (SELECT g, doc_id, 0 AS k, source AS part FROM d UNION ALL SELECT g, doc_id, 1, lang FROM d) GROUP BY g, part),
-c AS (SELECT g, string_agg(part, '| ' ORDER BY at) AS place FROM p GROUP BY g),
+WITH {_GROUPED}, f AS (SELECT g, source, min(doc_id) AS pl FROM d GROUP BY g, source), n AS (SELECT g, min(doc_id) AS first FROM d GROUP BY g),
+s AS (SELECT g, string_agg(source, '; ' ORDER BY pl) AS source_file FROM f WHERE source <> '' GROUP BY g),
+p AS (SELECT g, part, min((doc_id, k)) AS pl FROM (SELECT g, doc_id, 0 AS k, source AS part FROM d UNION ALL SELECT g, doc_id, 1, lang FROM d) GROUP BY g, part),
+c AS (SELECT g, string_agg(part, '| ' ORDER BY pl) AS place FROM p GROUP BY g),
 r AS (SELECT g, string_agg(DISTINCT doc_id::INT::VARCHAR, ',' ORDER BY doc_id::INT::VARCHAR) AS source_rows FROM d GROUP BY g),
-x AS (SELECT g, doc_id % 3 AS m, min(doc_id) AS at FROM d GROUP BY g, m),
-y AS (SELECT g, CASE WHEN bool_and(m > 0) THEN string_agg('doubt ' || m, '; ' ORDER BY at) END AS doubtful FROM x GROUP BY g)
+x AS (SELECT g, doc_id % 3 AS m, min(doc_id) AS pl FROM d GROUP BY g, m),
+y AS (SELECT g, CASE WHEN bool_and(m > 0) THEN string_agg('doubt ' || m, '; ' ORDER BY pl) END AS doubtful FROM x GROUP BY g)
 SELECT first AS doc_id, source_file, place, source_rows, doubtful FROM n JOIN s USING (g) JOIN c USING (g) JOIN r USING (g) JOIN y USING (g)
 """)
 def provenance_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
