@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, mixing, secrets, simhash, toxicity
+from tessera.llm import bpe, mixing, nearcopies, secrets, toxicity
 from tessera.session import attach, store, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -35,9 +35,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked fingerprints: the one with the smallest id."""
+    """One document of each component of near copies (5-word Jaccard of 0.8 at least): the one with the smallest id."""
     keyed = docs.select(*COLUMNS, _row().alias("row"))
-    found = simhash.near_duplicates(keyed, "row", "text")
+    found = nearcopies.near_copies(keyed, "row", "text")
     first = found.select("component_id").distinct()
     kept = keyed.join(first, keyed["row"].eqNullSafe(first["component_id"]), "left_semi")
     return kept.dropDuplicates(["row"]).select(*COLUMNS)
