@@ -25,6 +25,7 @@ one array of words; marks stream by document.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -331,9 +332,12 @@ class Index:
 
     ``ingest`` cleans a delivery against all runs and adds its new windows as a run; a run is
     written once and never changed. ``compact`` merges all runs into one when there are more than
-    ``most``; the folder's newest complete run set is what a reader sees.
+    ``most``; the folder's newest complete run set is what a reader sees. Each row names the delivery
+    that had its windows first, also in a merged run.
     """
 
+    RUN = "anchor long, own binary, delivery string"
+
     def __init__(self, spark: SparkSession, path: str, most: int = 4):
         self.spark, self.path, self.most = attach(spark), path.rstrip("/"), most
 
@@ -351,17 +355,20 @@ class Index:
 
     def history(self) -> DataFrame | None:
         runs = self.runs()
-        return self.spark.read.schema("anchor long, own binary").parquet(*runs) if runs else None
+        return self.spark.read.schema(self.RUN).parquet(*runs) if runs else None
 
     def ingest(self, df: DataFrame, name: str, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Clean a delivery; its windows are in the index when this returns.
 
-        ``name`` orders deliveries and makes a repeated ingest of one delivery write its run anew.
+        A repeated ingest of the delivery ``name`` is judged against all windows but its own, before
+        and after a compaction, and writes its run anew. Deliveries come in the order of the calls.
         """
-        earlier = [r for r in self.runs() if r.rsplit("/", 1)[1] < f"run-{name}"]
-        history = self.spark.read.schema("anchor long, own binary").parquet(*earlier) if earlier else None
+        own = f"run-{name}"
+        others = [r for r in self.runs() if r.rsplit("/", 1)[1] != own]
+        history = self.spark.read.schema(self.RUN).parquet(*others).where(~F.col("delivery").eqNullSafe(name)) if others else None
         rows = windows(df, key, text)
-        mark(rows, key, history, keep=True).sortWithinPartitions("anchor").write.mode("overwrite").parquet(f"{self.path}/run-{name}")
+        new = mark(rows, key, history, keep=True).withColumn("delivery", F.lit(name))
+        new.sortWithinPartitions("anchor").write.mode("overwrite").parquet(f"{self.path}/{own}")
         return kept(df, key, text, mark(rows, key, history))
 
     def compact(self) -> int:
@@ -370,8 +377,8 @@ class Index:
         if len(runs) <= self.most:
             return len(runs)
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        merged = self.history().repartition(n, "anchor").sortWithinPartitions("anchor")
-        merged.write.mode("overwrite").parquet(f"{runs[-1]}+")
+        merged = self.history().repartition(n, "anchor").dropDuplicates().sortWithinPartitions("anchor")
+        merged.write.mode("overwrite").parquet(f"{self.path}/merged-{uuid.uuid4().hex}")
         fs, _ = self._fs()
         for r in runs:
             fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(r), True)

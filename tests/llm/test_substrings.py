@@ -81,6 +81,16 @@ def test_deliveries_and_compaction(spark, tmp_path):
     assert [(r[1], r[2]) for r in result(index.ingest(again, "0009"))] == [(n, n if n >= S.WINDOW else 0)]
 
 
+def test_repeats_after_compaction_and_names_out_of_text_order(spark, tmp_path):
+    rows = made(5)
+    index = S.Index(spark, f"file://{tmp_path}/index", most=1)
+    parts = [spark.createDataFrame([r for r in rows if a <= r[0] < b], "doc_id long, text string") for a, b in ((0, 200), (200, 10_000))]
+    got = [result(index.ingest(part, name)) for part, name in zip(parts, ("9", "10"))]
+    assert sorted(got[0] + got[1]) == brute(rows)
+    assert index.compact() == 1
+    assert [result(index.ingest(part, name)) for part, name in zip(parts, ("9", "10"))] == got
+
+
 def test_shard_runs():
     rnd = np.random.default_rng(1)
     shard, seen = S.Shard(), set()
