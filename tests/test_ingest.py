@@ -23,3 +23,11 @@ def test_a_second_stream_is_not_taken_for_a_replay(spark, tmp_path, monkeypatch)
     for name in ("0", ".0.crc"):
         (tmp_path / "check2" / "commits" / name).unlink()
     assert run(2) == 0 and base.entries().count() == 2
+
+
+def test_embeddings_reach_the_candidates(spark, tmp_path, monkeypatch):
+    base = base_and_files(spark, tmp_path, monkeypatch, embeddings=True)
+    given = []
+    monkeypatch.setattr(I.candidates, "candidate_matches", lambda new, entries, embeddings=None, **k: given.append(embeddings and [e.count() for e in embeddings]))
+    assert I.ingest(spark, base, f"{tmp_path}/in1", f"{tmp_path}/check1", Rules({"a": "A"}), "2026-01-01") == 1
+    assert given == [[1, 0]]
