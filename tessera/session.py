@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a Parquet row group of a stored table.
+ROW_GROUP = 32 << 20
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -28,10 +30,12 @@ def attach(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests in local mode) a temporary one is set.
+    Only where the session names none a temporary one is set, in local mode; on a cluster that is an error.
     """
     there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not there:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         there = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(there)
     return there.rstrip("/")
@@ -40,20 +44,21 @@ def shared_dir(spark: SparkSession) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here.
 
-    The files outlive the loss of any executor.
+    The files outlive the loss of any executor. Row groups are small, so writers hold little memory.
     """
     path = f"{shared_dir(df.sparkSession)}/tessera/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`store`."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/tessera/" in path:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of tables made by :func:`store`, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/tessera/" in path:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
