@@ -37,15 +37,25 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
-def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str | T.StructType, **limits: int) -> DataFrame:
-    """``mapInArrow`` with a function from a slice to the columns of its results."""
+def map_tasks(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str | T.StructType, **limits: int) -> DataFrame:
+    """``mapInArrow`` with a function from a slice to the columns of its results.
+
+    ``start`` makes the function anew in each task, so what it remembers goes when the task ends and
+    a worker that serves another operator next holds nothing of it.
+    """
     attach(df.sparkSession)
     spark_schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     arrow_schema = to_arrow_schema(spark_schema)
 
     def run(batches):
+        function = start()
         for part in slices(batches, **limits):
             columns = function(part)
             yield pa.RecordBatch.from_arrays([_array(columns[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
 
     return df.mapInArrow(run, spark_schema)
+
+
+def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str | T.StructType, **limits: int) -> DataFrame:
+    """:func:`map_tasks` with a function that remembers nothing."""
+    return map_tasks(df, lambda: function, schema, **limits)

@@ -8,14 +8,18 @@ bounded, documented sample of the labelled rows: up to ``SAMPLE`` of each label,
 smallest hash of their id. Batches hold as many toxic as other texts. Parts that fewer than
 ``LEAST`` of the texts hold have no vector, so words that training has not met say nothing. A
 held-back fifth of the sample calibrates: for each language a threshold on the logit is chosen and
-the score is the logistic function of the distance from it. The language is guessed from the text itself by frequent function words, so no column but the text
-enters a score; texts without any such word use the threshold of all languages together.
+the score is the logistic function of the distance from it. Languages are those the sampled rows name:
+for each the words that its texts hold much more often than the others' do are learned from the
+sample, and a text counts as the language that most of its words vote for. So no column but the text
+enters a score; a text without any such word uses the threshold of all languages together, as does
+one of a language with few labels or none.
 
 Cases: null and empty texts have no words, and score as a text whose features are all zero; ties
-and repeated rows score equal; rows of unknown or null label are not learned from; without labels of
-both kinds every score is the share of toxic labels (0 without any), and below one half; an empty
-table gives an empty result; columns beyond those named are not read. Very long texts are scored whole, in stretches of words
-that overlap by the widest filter.
+and repeated rows score equal, and of a repeated key one text is learned from, that of the smallest
+hash; rows of unknown or null label are not learned from; without labels of both kinds every score is
+the share of toxic labels (0 without any), and below one half; an empty table gives an empty result;
+columns beyond those named are not read. Very long texts are scored whole, in stretches of words that
+overlap by the widest filter; of those in the sample the first ``LEARN_CHARS`` characters are learned from.
 """
 
 from __future__ import annotations
@@ -29,30 +33,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import map_slices, texts
+from tessera.llm.arrow import map_tasks, texts
 
 #: Most labelled rows of each label that training reads.
 SAMPLE = 2500
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 12, (1, 2, 3)
-STEPS, BATCH, RATE, DROP, SEED, LEAST = 500, 32, 0.01, 0.25, 11, 4
+STEPS, BATCH, RATE, DROP, SEED, LEAST = 500, 32, 0.01, 0.4, 11, 4
 PARTS = 10
-#: Words whose parts a worker remembers; it starts anew beyond them.
-WORDS = 300_000
+#: Characters of a sampled text that reach the driver, so the sample's size is bounded in bytes too.
+LEARN_CHARS = 40_000
+#: Words whose parts a task remembers; it starts anew beyond them.
+WORDS = 200_000
 STRETCH = 1 << 14
+#: Words that speak for one language, for each; texts of a label that a language's threshold takes at least.
+MARKERS, ENOUGH = 60, 5
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
-#: Frequent function words of some languages, for calibration.
-FUNCTION_WORDS = {
-    "de": "der die und das ist nicht ein eine zu den mit von auf für im dem des sich auch als",
-    "en": "the of and to in is that it was for on are with as at be this have from or",
-    "es": "el los las que y en un una por con para del se su al lo como más pero es",
-    "fr": "le les des et est une dans qui que du pour pas sur au avec ce il sont plus la",
-}
-LANGUAGES = sorted(FUNCTION_WORDS)
-_VOTES = {w: [k for k, l in enumerate(LANGUAGES) if w in FUNCTION_WORDS[l].split()] for ws in FUNCTION_WORDS.values() for w in ws.split()}
-
-
 def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
@@ -65,14 +62,37 @@ def parts_of(word: str) -> list[int]:
     return [1 + zlib.crc32(p.encode("utf-8")) % (BUCKETS - 1) for p in pieces]
 
 
-def language_of(words: list[str]) -> int:
-    """Index of the language with most function words in a text, -1 for none."""
-    votes = [0] * len(LANGUAGES)
+def markers(texts_: list[list[str]], langs: list[str | None]) -> dict[str, int]:
+    """Words that speak for one language, and the number of that language in the order of names.
+
+    A word's share of texts in its language must be four times its share in any other, so shared
+    words do not vote; the most frequent ones are taken, ties in the order of the words.
+    """
+    names = sorted({lang for lang in langs if lang})
+    texts_of = [[set(w) for w, lang in zip(texts_, langs) if lang == name] for name in names]
+    share: list[dict[str, float]] = []
+    for each in texts_of:
+        count: dict[str, int] = {}
+        for words in each:
+            for w in words:
+                count[w] = count.get(w, 0) + 1
+        share.append({w: n / len(each) for w, n in count.items()})
+    out = {}
+    for k, own in enumerate(share):
+        others = [s for j, s in enumerate(share) if j != k]
+        best = sorted((-v, w) for w, v in own.items() if v >= 4 * max((s.get(w, 0.0) for s in others), default=0.0))
+        out |= {w: k for _, w in best[:MARKERS]}
+    return out
+
+
+def language_of(words: list[str], marks: dict[str, int]) -> int:
+    """Number of the language that most words of a text vote for, the first of equals; -1 for none."""
+    votes: dict[int, int] = {}
     for w in words:
-        for k in _VOTES.get(w, ()):
-            votes[k] += 1
-    best = max(range(len(votes)), key=lambda k: (votes[k], -k))
-    return best if votes[best] else -1
+        k = marks.get(w)
+        if k is not None:
+            votes[k] = votes.get(k, 0) + 1
+    return min(votes, key=lambda k: (-votes[k], k)) if votes else -1
 
 
 @dataclass
@@ -84,6 +104,7 @@ class Network:
     biases: list[np.ndarray]
     output: np.ndarray
     offset: float
+    marks: dict[str, int] = field(default_factory=dict)
     thresholds: dict[int, float] = field(default_factory=dict)
     slope: float = 1.0
 
@@ -148,8 +169,8 @@ def convolve(net: Network, table: np.ndarray, ids: np.ndarray, bounds: np.ndarra
     return out
 
 
-def train(samples: list[tuple[list[str], int]], seed: int = SEED) -> Network | None:
-    """Fit and calibrate on (words, label) in a given order; None without both labels."""
+def train(samples: list[tuple[list[str], int]], langs: list[str | None] | None = None, seed: int = SEED) -> Network | None:
+    """Fit and calibrate on (words, label) in a given order, with their languages if known; None without both labels."""
     if len({y for _, y in samples}) < 2:
         return None
     held = [k % 5 == 4 for k in range(len(samples))]
@@ -229,9 +250,9 @@ def train(samples: list[tuple[list[str], int]], seed: int = SEED) -> Network | N
         offset_moment[0] += 0.1 * (g - offset_moment[0])
         offset_moment[1] += 0.001 * (g * g - offset_moment[1])
         net.offset -= rate * offset_moment[0] / (np.sqrt(offset_moment[1]) + 1e-8)
-    scorer = Scorer(net)
+    net.marks = markers([words for words, _ in samples], langs or [])
     check = [k for k, h in enumerate(held) if h] or fit
-    calibrate(net, scorer.logits([samples[k][0] for k in check]), labels[check], [language_of(samples[k][0]) for k in check])
+    calibrate(net, Scorer(net).logits([samples[k][0] for k in check]), labels[check], [language_of(samples[k][0], net.marks) for k in check])
     return net
 
 
@@ -250,12 +271,12 @@ def cut(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def calibrate(net: Network, logits: np.ndarray, labels: np.ndarray, languages: list[int]) -> None:
-    """Thresholds for all texts (-1) and for each language with five of both labels at least."""
+    """Thresholds for all texts (-1) and for each language with enough of both labels."""
     languages = np.array(languages)
     net.thresholds = {-1: cut(logits, labels) if len(set(labels.tolist())) == 2 else 0.0}
-    for k in range(len(LANGUAGES)):
+    for k in sorted(set(net.marks.values())):
         mine = languages == k
-        if min((labels[mine] > 0).sum(), (labels[mine] == 0).sum()) >= 5:
+        if min((labels[mine] > 0).sum(), (labels[mine] == 0).sum()) >= ENOUGH:
             net.thresholds[k] = cut(logits[mine], labels[mine])
     net.slope = float(1 / max(0.5, np.std(logits)))
 
@@ -266,7 +287,7 @@ class Scorer:
     def __init__(self, net: Network):
         self.net = net
         self.index: dict[str, int] = {}
-        self.parts = np.zeros((1024, PARTS), np.int64)
+        self.parts = np.zeros((1024, PARTS), np.int32)
 
     def row(self, word: str) -> int:
         k = self.index[word] = len(self.index)
@@ -310,40 +331,27 @@ class Scorer:
         words = [words_of(t) for t in batch]
         out = []
         for z, w in zip(self.logits(words).tolist(), words):
-            k = language_of(w)
+            k = language_of(w, net.marks)
             d = (z - net.thresholds.get(k, net.thresholds[-1])) * net.slope * 4
             out.append(float(1 / (1 + np.exp(-max(-30.0, min(30.0, d))))))
         return out
 
 
-_SCORERS: dict[int, tuple[object, Scorer]] = {}
-
-
-def scorer(shared) -> Scorer:
-    """One scorer a worker and broadcast."""
-    if shared.value is not None and (id(shared.value) not in _SCORERS):
-        _SCORERS.clear()
-        _SCORERS[id(shared.value)] = shared.value, Scorer(shared.value)
-    return _SCORERS[id(shared.value)][1]
-
-
-def sample(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> list[tuple[list[str], int]]:
+def sample(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang") -> list[tuple[list[str], int, str | None]]:
     """Up to ``SAMPLE`` labelled texts of each label where ``allowed`` holds, smallest hash of the key first.
 
     A key with labels of both kinds counts as toxic. The keys are chosen from the labels alone; only
-    the chosen texts come to the driver.
+    the chosen texts come to the driver. Languages are null where the documents do not name any.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     known = known.withColumn("h", F.md5(F.col(key).cast("string"))).where(allowed)
-    chosen: dict = {}
-    for y in (0, 1):
-        for r in known.where(F.col("y") == y).orderBy("h").limit(SAMPLE).collect():
-            chosen[r[key]] = r.h, y
-    if not chosen:
-        return []
-    found = docs.where(F.col(key).isin(list(chosen))).select(key, text).limit(2 * len(chosen)).collect()
-    rows = sorted({(chosen[r[key]][0], r[text] or "", chosen[r[key]][1]) for r in found})
-    return [(words_of(t), y) for _, t, y in rows]
+    pick = [known.where(F.col("y") == y).orderBy("h").limit(SAMPLE) for y in (0, 1)]
+    chosen = F.broadcast(pick[0].unionByName(pick[1]).select(F.col(key).alias("_k"), "y", "h"))  # 2 x SAMPLE rows at most
+    name = F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    texts_ = docs.select(F.col(key).alias("k"), F.substring(F.coalesce(text, F.lit("")), 1, LEARN_CHARS).alias("text"), name.alias("lang"))
+    one = F.min_by(F.struct("text", "lang"), F.struct(F.md5("text"), "lang"))
+    found = texts_.join(chosen, F.col("k") == F.col("_k")).groupBy("k", "y", "h").agg(one.alias("t")).select("h", "y", "t.*").collect()
+    return [(words_of(r.text), r.y, r.lang) for r in sorted(found, key=lambda r: (r.h, r.text, r.y))]
 
 
 def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), prior: float = 0.0) -> DataFrame:
@@ -353,14 +361,19 @@ def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str =
     names = [key, *carry]
     at = names.index(text) if text in names else len(names)
 
-    def run(part: pa.RecordBatch) -> dict:
-        batch = texts(part.column(at))
-        got = [prior] * len(batch) if shared.value is None else scorer(shared).scores(batch)
-        return {n: part.column(k) for k, n in enumerate(names)} | {"score": got}
+    def start():
+        own = None if shared.value is None else Scorer(shared.value)  # its memory goes with the task
+
+        def run(part: pa.RecordBatch) -> dict:
+            batch = texts(part.column(at))
+            got = [prior] * len(batch) if own is None else own.scores(batch)
+            return {n: part.column(k) for k, n in enumerate(names)} | {"score": got}
+
+        return run
 
     df = docs.select(*names) if text in names else docs.select(*names, text)
     schema = docs.select(*names).schema.add("score", "double")
-    return map_slices(df, run, schema, rows=256, size=1 << 20)
+    return map_tasks(df, start, schema, rows=256, size=1 << 20)
 
 
 def crc_of_id(key: str = "doc_id") -> Column:
@@ -370,5 +383,5 @@ def crc_of_id(key: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text") -> tuple[Network | None, float]:
     """The trained network (None without both labels) and a prior below one half for that case."""
     rows = sample(docs, labels, allowed, key, text)
-    share = sum(y for _, y in rows) / len(rows) if rows else 0.0
-    return train(rows), min(share, 0.49)
+    share = sum(y for _, y, _ in rows) / len(rows) if rows else 0.0
+    return train([(words, y) for words, y, _ in rows], [lang for _, _, lang in rows]), min(share, 0.49)
