@@ -22,6 +22,7 @@ import heapq
 import json
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +82,7 @@ class Vocabulary:
         self.chars = byte_characters()
         self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
-        self.words: dict[str, tuple[list[int], str, str]] = {}
+        self.words: dict[str, tuple[list[int], str]] = {}
 
     # -- cutting
 
@@ -206,15 +207,14 @@ class Vocabulary:
             bad[whose[~verdict[place]]] = True
         for k in np.flatnonzero(bad).tolist():
             proposals[k] = self.merge(self.base(spelt[k], True))
-        strings = self.strings
         for w, p in zip(words, proposals):
-            self.words[w] = p, " ".join(map(str, p)), " ".join([strings[i] for i in p])
+            self.words[w] = p, " ".join(map(str, p))
         return {"words": len(words), "merged": int(bad.sum())}
 
     # -- whole texts
 
-    def encode_batch(self, batch: list[str]) -> list[list[tuple[list[int], str, str]]]:
-        """For each text its words as (ids, ids joined, tokens joined)."""
+    def encode_batch(self, batch: list[str]) -> list[list[tuple[list[int], str]]]:
+        """For each text its words as (ids, ids joined)."""
         cut: list[list[str | int]] = []
         for text in batch:
             if self.special is not None and any(a in text for a in self.added):
@@ -233,13 +233,13 @@ class Vocabulary:
                 known.clear()
                 new = {w for parts in cut for w in parts if not isinstance(w, int)}
             self.learn(sorted(new))
-        return [[([w], str(w), self.strings[w]) if isinstance(w, int) else known[w] for w in parts] for parts in cut]
+        return [[([w], str(w)) if isinstance(w, int) else known[w] for w in parts] for parts in cut]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _, _ in self.encode_batch([text or ""])[0] for i in ids]
+        return [i for ids, _ in self.encode_batch([text or ""])[0] for i in ids]
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(self.strings[i] for i in ids)
+        return " ".join(map(self.strings.__getitem__, ids))
 
 
 @lru_cache(maxsize=4)
@@ -254,8 +254,8 @@ def encode(df: DataFrame, key: str, text: str, path: str, carry: tuple[str, ...]
 
     def run(part: pa.RecordBatch) -> dict:
         got = vocabulary(path).encode_batch(texts(part.column(len(names))))
-        ends = np.cumsum([0, *(sum(len(ids) for ids, _, _ in words) for words in got)])
-        flat = np.fromiter((i for words in got for ids, _, _ in words for i in ids), np.int32, int(ends[-1]))
+        ends = np.cumsum([0, *(sum(len(ids) for ids, _ in words) for words in got)])
+        flat = np.fromiter((i for words in got for ids, _ in words for i in ids), np.int32, int(ends[-1]))
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         return {n: part.column(k) for k, n in enumerate(names)} | {"ids": ids}
 
@@ -277,7 +277,7 @@ def decode(df: DataFrame, key: str, ids: str, path: str) -> DataFrame:
 def digests(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): an encoded and decoded table without its arrays.
 
-    The ids in decimal and the tokens' strings are joined from each word's own, both made from ids.
+    The ids in decimal are joined from each word's own; the text is decoded from the ids produced.
     """
     kind = df.schema[key].dataType.simpleString()
 
@@ -285,10 +285,11 @@ def digests(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
         v = vocabulary(path)
         n, ids, decoded = [], [], []
         for words in v.encode_batch(texts(part.column(1))):
-            each, numbers, strings = zip(*words) if words else ((), (), ())
-            n.append(sum(map(len, each)))
+            each, numbers = zip(*words) if words else ((), ())
+            produced = list(chain.from_iterable(each))
+            n.append(len(produced))
             ids.append(hashlib.sha256(" ".join(numbers).encode()).hexdigest())
-            decoded.append(hashlib.sha256(" ".join(strings).encode("utf-8")).hexdigest())
+            decoded.append(hashlib.sha256(v.decode(produced).encode("utf-8")).hexdigest())
         return {key: part.column(0), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
     return map_slices(df.select(key, text), run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", size=2 << 20)
