@@ -113,3 +113,33 @@ def test_odd_rows(spark):
     assert S.dedup(df.limit(0)).count() == 0
     null = spark.createDataFrame([(None, text), (1, text)], "doc_id long, text string")
     assert sorted((r.n_words, r.n_removed) for r in S.dedup(null).collect()) == [(30, 0), (30, 30)]
+
+
+def test_large_anchors_are_judged_window_by_window(spark):
+    rows = made(7) + [(3000 + k, " ".join(["deep"] * (30 + k)) + f" end{k}") for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    marks = S.mark(S.windows(df, "doc_id", "text"), "doc_id", held=1)
+    assert result(S.kept(df, "doc_id", "text", marks)) == brute(rows)
+
+
+def test_full_runs_start_anew(spark, monkeypatch):
+    monkeypatch.setattr(S, "SEEN", 50)
+    rows = made(8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").orderBy("doc_id")
+    assert result(S.dedup(df)) == brute(rows)
+
+
+def test_tiers_and_another_session(spark, tmp_path):
+    rows = made(9)
+    path = f"file://{tmp_path}/index"
+    index, got = S.Index(spark, path, fan=2), []
+    for k, (a, b) in enumerate(((0, 60), (60, 90), (90, 120), (120, 150), (150, 10_000))):
+        part = spark.createDataFrame([r for r in rows if a <= r[0] < b], "doc_id long, text string")
+        got += result(index.ingest(part, str(k)))
+    assert sorted(got) == brute(rows)
+    runs = index.manifest()["runs"]
+    assert len(runs) <= 3 and sorted(d for r in runs for d in r["deliveries"]) == [str(k) for k in range(len(got) and 5)]
+    windows = index.history().select("anchor", "own")
+    assert windows.count() == windows.distinct().count()  # a window is in one run only
+    other = S.Index(spark.newSession(), path)
+    assert {(r.anchor, bytes(r.own)) for r in other.history().collect()} == {(r.anchor, bytes(r.own)) for r in windows.collect()}
