@@ -4,15 +4,24 @@ Each language has a probability for every piece of a fixed public vocabulary (it
 pieces, with word starts). The probability of a word is the sum, over all ways of cutting it into
 pieces, of the product of the pieces' probabilities; a forward algorithm sums them, for all words
 and languages of a slice at once. A text's log-likelihood is the sum over its words; words are runs
-of letters, lower-cased. Piece probabilities are fitted by expectation-maximisation (forward and
-backward sums over all segmentations) to a bounded sample of labelled texts: up to ``SAMPLE`` a
-language, those with the smallest hash of their id. Nothing but the text enters a prediction.
+of letters, lower-cased, and a long run is cut only where no piece spans the cut, so that the sums
+over all segmentations factor there; what is long without such a place is summed letter by letter,
+rescaled as it goes. The score is the posterior of the predicted language, all being equally likely
+before. Piece probabilities are fitted by expectation-maximisation (forward and backward sums over
+all segmentations) to a bounded sample of labelled texts: about ``SAMPLE`` a language, those with the
+smallest hash of their id. Nothing but the text enters a prediction.
+
+The sample needs no ranking of a whole language: hashes are even over (0, 1), so of ``n`` texts of a
+language those below a cut-off a little above ``SAMPLE / n`` hold the smallest ``SAMPLE``, and only
+these are ranked.
 
 Cases: a text that is null or has no letter is ``und`` with score 0, as is every text if there is
 nothing to learn from; letters that no piece covers count as one unknown piece in every language;
-ties go to the language that sorts first; repeated rows are predicted alike (and learned from once
-each); a null language is not learned from; an empty table gives an empty result; columns beyond
-those named are not read. Runs of more than ``LONGEST`` letters are scored in stretches of so many.
+ties go to the language that sorts first; repeated rows are predicted alike (and of a repeated id and
+language one text is learned from, that of the smallest hash); a null language is not learned from;
+an empty table gives an empty result; columns beyond those named are not read. Very long texts are
+predicted from all their words; training reads the first ``LEARN_CHARS`` characters of a sampled
+text, with runs of more than ``LONGEST`` letters in stretches of so many.
 """
 
 from __future__ import annotations
@@ -28,16 +37,17 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import map_slices, texts
+from tessera.llm.arrow import map_tasks, texts
 
-#: Most labelled texts of each language that training reads.
-SAMPLE = 300
+#: Most labelled texts of each language that training reads, and the most characters of each.
+SAMPLE, LEARN_CHARS = 300, 40_000
 ROUNDS, PRIOR = 3, 2000.0
-LONGEST, WIDEST = 40, 12
-#: Words whose scores a worker remembers; it starts anew beyond them.
-WORDS = 300_000
-#: Words that are worth as much evidence as the score shows at most.
-EVIDENCE = 30
+#: Letters of a word that is scored together with others of its length.
+LONGEST = 40
+#: Letters whose pieces are looked up at once in a long word.
+STRETCH = 4096
+#: Words whose scores a task remembers; it starts anew beyond them.
+WORDS = 200_000
 SCALE = 1000.0  # a letter's worth; keeps products of small numbers in range
 
 LETTERS = regex.compile(r"\p{L}+")
@@ -46,7 +56,7 @@ START = "▁"
 
 
 def words_of(text: str) -> list[str]:
-    """Word starts and letters, long runs in stretches."""
+    """Word starts and letters, long runs in stretches: what training reads."""
     out = []
     for w in LETTERS.findall(text.lower()):
         if len(w) < LONGEST:
@@ -71,7 +81,7 @@ class Pieces:
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
         self.unknown = len(pieces)
-        self.widest = min(WIDEST, max(map(len, pieces)))
+        self.widest = max(map(len, pieces))
 
     @staticmethod
     def spread(points: np.ndarray) -> np.ndarray:
@@ -94,6 +104,22 @@ class Pieces:
         single[single < 0] = self.unknown
         return out
 
+    def stretches(self, word: str):
+        """Lattices (start, letters - 1) of a long word, some starts at a time."""
+        for a in range(0, len(word), STRETCH):
+            part = word[a : a + STRETCH + self.widest - 1]
+            yield a, self.lattice([part], len(part))[0, : min(STRETCH, len(word) - a)]
+
+    def segments(self, word: str) -> list[str]:
+        """A long word cut wherever no piece spans the cut: no segmentation crosses such a place."""
+        inside = np.zeros(len(word) + 1, np.int32)
+        for a, ids in self.stretches(word):
+            start, k = np.nonzero(ids[:, 1:] >= 0)
+            np.add.at(inside, a + start + 1, 1)  # places after its first letter and before its last
+            np.add.at(inside, np.minimum(a + start + k + 2, len(word)), -1)
+        cuts = [0, *(np.flatnonzero(np.cumsum(inside[:-1])[1:] == 0) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+
 
 @lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
@@ -103,7 +129,7 @@ def pieces_of(path: str) -> Pieces:
     for k in range(sp.get_piece_size()):
         p = sp.id_to_piece(k)
         body = p.removeprefix(START)
-        if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k)) and len(p) <= WIDEST and p == p.lower() and (p == START or (body and LETTERS.fullmatch(body))):
+        if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k)) and p == p.lower() and (p == START or (body and LETTERS.fullmatch(body))):
             found.append(p)
     return Pieces(sorted(set(found)))
 
@@ -154,10 +180,29 @@ class Model:
         for width, some in by.items():
             for a in range(0, len(some), 4096):
                 part = some[a : a + 4096]
+                if width > 2 * LONGEST:
+                    out[part] = [self.long_score(words[k]) for k in part]
+                    continue
                 total = forward(vocabulary.lattice([words[k] for k in part], width), self.p)[width]
                 out[part] = np.log(total) - width * np.log(SCALE)
         return out
 
+    def long_score(self, word: str) -> np.ndarray:
+        """Log-likelihoods (language) of one long word: sums pushed ahead letter by letter, rescaled."""
+        v = pieces_of(self.path)
+        ahead, logs = np.zeros((v.widest + 1, len(self.languages))), np.zeros(len(self.languages))
+        ahead[0] = 1
+        for _, ids in v.stretches(word):
+            for row in ids:
+                k = np.flatnonzero(row >= 0)
+                ahead[k + 1] += ahead[0] * self.p[row[k]]
+                ahead[:-1] = ahead[1:]
+                ahead[-1] = 0
+                most = ahead.max(0)
+                ahead /= most
+                logs += np.log(most)
+        return logs + np.log(ahead[0])
+
 
 def fit(path: str, samples: dict[str, Counter]) -> Model | None:
     """Expectation-maximisation on counts of words by language; None without any language."""
@@ -203,12 +248,22 @@ class Predictor:
     """Predicts texts; remembers the words it meets."""
 
     def __init__(self, model: Model):
-        self.model = model
+        self.model, self.vocabulary = model, pieces_of(model.path)
         self.index: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
 
+    def words(self, text: str) -> list[str]:
+        """Word starts and letters; long runs in segments that no piece crosses."""
+        out = []
+        for w in LETTERS.findall(text.lower()):
+            if len(w) < LONGEST:
+                out.append(START + w)
+            else:
+                out += self.vocabulary.segments(START + w)
+        return out
+
     def predict(self, batch: list[str]) -> list[tuple[str, float]]:
-        cut = [words_of(t) for t in batch]
+        cut = [self.words(t) for t in batch]
         if len(self.index) > WORDS:
             self.index.clear()
             self.table = self.table[:0]
@@ -222,36 +277,31 @@ class Predictor:
                 out.append(("und", 0.0))
                 continue
             total = self.table[list(map(self.index.__getitem__, words))].sum(0)
-            total = (total - total.max()) * min(1.0, EVIDENCE / len(words))
-            share = np.exp(total)
+            share = np.exp(total - total.max())
             best = int(share.argmax())
             out.append((self.model.languages[best], float(share[best] / share.sum())))
         return out
 
 
-_PREDICTORS: dict[int, tuple[object, Predictor]] = {}
-
-
-def _predictor(model: Model) -> Predictor:
-    if id(model) not in _PREDICTORS:
-        _PREDICTORS.clear()
-        _PREDICTORS[id(model)] = model, Predictor(model)
-    return _PREDICTORS[id(model)][1]
-
-
 def train(docs: DataFrame, allowed: Column, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Fit to the sample of labelled texts where ``allowed`` holds.
 
-    Ids and languages alone choose the sample: at most ``SAMPLE`` rows of each language reach the
-    join with the texts and the driver.
+    Ids and languages alone choose the sample: about ``SAMPLE`` rows of each language reach the join
+    with the texts and the driver.
     """
-    order = Window.partitionBy("l").orderBy(F.md5(F.col("k").cast("string")))
     known = docs.where(allowed & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lang).alias("l"))
-    chosen = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE).select("k", "l").distinct()
-    found = docs.join(F.broadcast(chosen), (F.col(key) == F.col("k")) & (F.col(lang) == F.col("l"))).select("l", text)
+    sizes = known.groupBy("l").agg(F.count("*").alias("n"))
+    h = F.md5(F.col("k").cast("string"))
+    even = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+    # four standard deviations more than wanted, for repeats and chance
+    below = known.join(sizes, "l").where(even * F.col("n") <= SAMPLE + 4 * SAMPLE**0.5 + 8).select("k", "l", h.alias("h")).distinct()
+    order = Window.partitionBy("l").orderBy("h", "k")
+    chosen = below.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).select("k", "l")
+    part = docs.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.substring(F.coalesce(text, F.lit("")), 1, LEARN_CHARS).alias("t"))
+    found = part.join(chosen, ["k", "l"]).groupBy("k", "l").agg(F.min_by("t", F.md5("t")).alias("t")).select("l", "t")
     samples: dict[str, Counter] = {}
     for name, value in found.collect():
-        samples.setdefault(name, Counter()).update(words_of(value or ""))
+        samples.setdefault(name, Counter()).update(words_of(value))
     return fit(path, samples)
 
 
@@ -260,9 +310,14 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
 
-    def run(part: pa.RecordBatch) -> dict:
-        batch = texts(part.column(1))
-        got = [("und", 0.0)] * len(batch) if shared.value is None else _predictor(shared.value).predict(batch)
-        return {key: part.column(0), "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
+    def start():
+        own = None if shared.value is None else Predictor(shared.value)
+
+        def run(part: pa.RecordBatch) -> dict:
+            batch = texts(part.column(1))
+            got = [("und", 0.0)] * len(batch) if own is None else own.predict(batch)
+            return {key: part.column(0), "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
+
+        return run
 
-    return map_slices(docs.select(key, text), run, f"`{key}` {kind}, lang_pred string, score double", size=2 << 20)
+    return map_tasks(docs.select(key, text), start, f"`{key}` {kind}, lang_pred string, score double", size=2 << 20)

@@ -76,3 +76,80 @@ def test_odd_rows(spark):
     assert L.train(df.where("lang is null"), F.lit(True), PATH) is None
     assert {r.lang_pred for r in L.predict(df, None).collect()} == {"und"}
     assert L.predict(df.limit(0), model).count() == 0
+
+
+def test_long_words_are_summed_whole(model):
+    """Cuts only where no piece crosses, and the rescaled sums, against the plain sums."""
+    v = L.pieces_of(PATH)
+    words = [L.START + "thecatsatonthemat" * 4, L.START + "understanding" * 3 + "東京都" * 20 + "katze" * 5, L.START + "qжß" * 30]
+    for w in words:
+        total = np.log(L.forward(v.lattice([w], len(w)), model.p)[len(w), 0]) - len(w) * np.log(L.SCALE)
+        assert model.long_score(w) == pytest.approx(total, rel=1e-9)
+        parts = v.segments(w)
+        assert "".join(parts) == w
+        assert sum(model.word_scores([p])[0] for p in parts) == pytest.approx(total, rel=1e-9)
+    assert len(v.segments(words[1])) > 40
+    huge = "abc" * 5000
+    assert np.isfinite(model.long_score(L.START + huge)).all() and L.Predictor(model).predict([huge])[0][0] in "xy"
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """Training and prediction in plain Python on a small table."""
+    import zlib
+
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:60]
+    spark.createDataFrame(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    from tessera.llm.queries import op6_language
+
+    got = {r.doc_id: r for r in op6_language(spark, str(tmp_path)).collect()}
+    v = L.pieces_of(PATH)
+    place = {p: k for k, p in enumerate(v.pieces)}
+    n = len(v.pieces)
+
+    def edges(w):
+        return [(i, i + k, place.get(w[i : i + k], v.unknown if k == 1 else None)) for i in range(len(w)) for k in range(1, min(v.widest, len(w) - i) + 1) if k == 1 or w[i : i + k] in place]
+
+    def sums(w, p, back=False):
+        at = [0.0] * (len(w) + 1)
+        at[len(w) if back else 0] = 1.0
+        for i, j, piece in sorted(edges(w), key=lambda e: -e[1] if back else e[0]):
+            if back:
+                at[i] += at[j] * p[piece]
+            else:
+                at[j] += at[i] * p[piece]
+        return at
+
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows}
+    samples: dict = {}
+    for r in rows:
+        if r.lang is not None and not held[r.doc_id]:
+            samples.setdefault(r.lang, Counter()).update(L.words_of(r.text or ""))
+    names = sorted(k for k, c in samples.items() if c)
+    sizes = [len(x) for x in v.pieces] + [1]
+    first = [30.0**-s for s in sizes]
+    first[n] = 1e-9
+    p = {l: [x / sum(first) for x in first] for l in names}
+    for _ in range(L.ROUNDS):
+        counts = {l: np.zeros(n + 1) for l in names}
+        for l in names:
+            for w, m in samples[l].items():
+                a, b = sums(w, p[l]), sums(w, p[l], True)
+                for i, j, piece in edges(w):
+                    counts[l][piece] += m * a[i] * p[l][piece] * b[j] / a[-1]
+        pooled = sum(counts.values()) + 0.01
+        pooled = pooled / pooled.sum()
+        for l in names:
+            new = (counts[l] + L.PRIOR * pooled) / (counts[l].sum() + L.PRIOR)
+            new[n] = 1e-7
+            p[l] = (new / new.sum()).tolist()
+    for r in rows:
+        words = [L.START + w for w in L.LETTERS.findall((r.text or "").lower())]
+        assert got[r.doc_id].held_out == held[r.doc_id]
+        if not words:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        seen = Counter(words)
+        totals = np.array([sum(m * math.log(sums(w, p[l])[-1]) for w, m in seen.items()) for l in names])
+        share = np.exp(totals - totals.max())
+        assert got[r.doc_id].lang_pred == names[int(share.argmax())]
+        assert got[r.doc_id].score == pytest.approx(share.max() / share.sum(), rel=1e-6)
