@@ -14,7 +14,8 @@ each assistant text is a run of its own, marks never count.
 Cases: null roles and texts are empty; rows are ordered by turn, null first, then by role and text
 (ties and repeated rows are turns like any other); a null conv_id is one conversation; a
 conversation is one row and so is held as one; an empty table gives an empty result; columns beyond
-those named are not read, and their names do not matter.
+those named are not read, and their names do not matter. Very long texts and conversations of many
+turns are formatted and read whole; reading cuts the output in blocks of runs.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import cuts
 from tessera.session import attach
 
 START, MESSAGE, TURN, END = "<|start|>", "<|message|>", "<|turn|>", "<|end|>\n"
@@ -88,13 +90,9 @@ def read_back(formatted: Column) -> Column:
 
 def masked_texts(formatted: Column, loss_mask: Column) -> Column:
     """The unescaped texts under the loss mask, in order."""
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, run: Column) -> Column:
-        text = unescape(F.substring(formatted, acc["at"], run["chars"]))
-        return F.struct((acc["at"] + run["chars"]).alias("at"), F.when(run["counts"], F.concat(acc["out"], F.array(text))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(loss_mask, zero, step, lambda acc: acc["out"])
+    parts = cuts.pieces(formatted, F.transform(loss_mask, lambda r: r["chars"]))
+    counted = F.filter(F.zip_with(parts, loss_mask, lambda p, r: F.when(r["counts"], p)), lambda p: p.isNotNull())
+    return F.transform(counted, unescape)
 
 
 def digests(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
