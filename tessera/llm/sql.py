@@ -83,16 +83,16 @@ WITH d AS (
   SELECT * FROM k WHERE kind < 3 OR NOT EXISTS (
     SELECT 1 FROM k AS b WHERE b.row = k.row AND b.kind < 3 AND b.start < k.stop AND k.start < b.stop)
 ), f AS (
-  SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM c GROUP BY value
+  SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (coalesce(source, chr(0)), coalesce(doc_id::VARCHAR, chr(0)))) AS places FROM c GROUP BY value
 ), s AS (
-  SELECT c.*, owners, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS span FROM c JOIN f USING (value)
+  SELECT c.*, owners, owners >= 5 OR places >= 50 AS wide, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS span FROM c JOIN f USING (value)
 ), g AS (
   SELECT row,
     count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
-    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3 OR owners = 1) AS spans,
-    count(*) FILTER (kind = 3 AND owners = 1) AS n_owned,
-    count(*) FILTER (kind < 3 AND owners = 1) AS n_live, count(*) FILTER (kind < 3 AND owners > 1) AS n_copied
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3 OR (owners = 1 AND NOT wide)) AS spans,
+    count(*) FILTER (kind = 3 AND owners = 1 AND NOT wide) AS n_owned,
+    count(*) FILTER (kind < 3 AND NOT wide) AS n_live, count(*) FILTER (kind < 3 AND wide) AS n_copied
   FROM s GROUP BY row
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
