@@ -33,6 +33,8 @@ from tessera.llm.arrow import map_slices
 SIDE = 24
 UNIT = SIDE * SIDE
 DELAY_CS = 4
+#: Pixels of a canvas or frame, at most: a few bytes can claim four thousand million.
+PIXELS = 1 << 26
 BINS = 8
 
 # ---------------------------------------------------------------- code streams
@@ -314,16 +316,27 @@ def encode_payloads(payloads: list[bytes]) -> list[bytes]:
     return files
 
 
+def _palette(data: bytes, at: int, n: int) -> np.ndarray:
+    """Colours (red, green, blue) of ``n`` bytes."""
+    if at + n > len(data):
+        raise ValueError("a palette that is cut off")
+    return np.frombuffer(data, np.uint8, n, at).reshape(-1, 3)
+
+
 def parse(data: bytes) -> Animation:
-    """The blocks of a file; pixel data stay packed."""
+    """The blocks of a file; pixel data stay packed. Whatever is wrong with a file is a ValueError."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
+    if len(data) < 13:
+        raise ValueError("the file ends too early")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > PIXELS:
+        raise ValueError(f"a canvas of more than {PIXELS} pixels")
     at = 13
     shared = None
     if flags & 0x80:
         n = 3 << (flags & 7) + 1
-        shared = np.frombuffer(data, np.uint8, n, at).reshape(-1, 3)
+        shared = _palette(data, at, n)
         at += n
     out = Animation(width, height, [])
     delay = disposal = 0
@@ -354,10 +367,12 @@ def parse(data: bytes) -> Animation:
                 palette = shared
                 if bits & 0x80:
                     n = 3 << (bits & 7) + 1
-                    palette = np.frombuffer(data, np.uint8, n, at).reshape(-1, 3)
+                    palette = _palette(data, at, n)
                     at += n
                 if palette is None:
                     raise ValueError("a frame without a palette")
+                if w * h > PIXELS:
+                    raise ValueError(f"a frame of more than {PIXELS} pixels")
                 size = data[at]
                 body, at = blocks(at + 1)
                 out.frames.append(Frame(left, top, w, h, palette, bool(bits & 0x40), size, body, delay, disposal, transparent))
