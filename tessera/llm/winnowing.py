@@ -20,7 +20,6 @@ read. Very long texts are processed whole, in a few arrays of their length.
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 
 import numpy as np
@@ -35,8 +34,9 @@ from tessera.llm.arrow import map_slices, slices, texts
 from tessera.session import attach
 
 K, WINDOW = 16, 24
-#: Rows that a range of ids holds about, and the most ranges.
-RANGE_ROWS, RANGES = 500, 8192
+#: Rows that a range of ids holds about, and the most ranges. A range is streamed, not held, so its
+#: size bounds no memory; the number of ranges bounds the boundaries on the driver to a megabyte.
+RANGE_ROWS, RANGES = 500, 1 << 17
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -136,8 +136,7 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows dealt to ranges of consecutive ids and sorted there: (range, copy, k, text).
 
     Rows with ``copy`` are the first ones of the next range (of all, in the last range); they follow
-    a range's last row. Boundaries are quantiles of the ids alone: some thousands of ids at most on
-    the driver.
+    a range's last row. Boundaries are quantiles of the ids alone, ``RANGES`` of them at most.
     """
     spark = attach(df.sparkSession)
     kind = df.schema[key].dataType
@@ -146,21 +145,22 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     wanted = max(1, min(RANGES, found.n // RANGE_ROWS))
     cuts: list = []
     if wanted > 1 and found.ids:
-        at = F.percentile_approx("k", [i / wanted for i in range(1, wanted)], 20 * wanted)
+        at = F.percentile_approx("k", [i / wanted for i in range(1, wanted)], min(20 * wanted, 1 << 21))
         cuts = sorted({c for c in rows.agg(at).first()[0] if c > found.least})  # ids that exist
     first = F.col("k") == F.lit(found.least)
     if found.ids < found.n:
         least = rows.where("k is null").agg(F.min("text").alias("text"))  # one row
         first = F.col("k").isNull() & (F.col("text") == least.scalar())
 
+    bounds = np.array(cuts)
+
     @F.pandas_udf(T.IntegerType())
     def place(ids: pd.Series) -> pd.Series:
         """Twice the range, and one more for an id that starts it."""
-        out = []
-        for k in ids.tolist():
-            r = bisect.bisect_right(cuts, k)
-            out.append(2 * r + (r > 0 and cuts[r - 1] == k))
-        return pd.Series(out, dtype="int32")
+        values = ids.to_numpy()
+        r = np.searchsorted(bounds, values, "right")
+        starts = (r > 0) & (bounds[np.maximum(r - 1, 0)] == values)
+        return pd.Series((2 * r + starts).astype(np.int32))
 
     known = F.coalesce("k", F.lit(found.least))  # a null would make pandas' numbers inexact
     where = F.when(F.col("k").isNull(), 0).otherwise(place(known)) if cuts else F.lit(0)
@@ -177,12 +177,14 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
 def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document's fingerprint against its edited text's and the next document's.
 
-    (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_hashes)
+    (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_hashes,
+    hashes, positions): the two strings are digests of chosen hashes and positions; the document's own
+    are returned too, so a reader can place what two documents share.
     """
     dealt = with_next(df, key, text)
     kind = df.schema[key].dataType.simpleString()
-    names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_hashes"]
-    types = [dealt.schema["k"].dataType, "long", "string", "string", "string", "double", "double", "long"]
+    names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_hashes", "hashes", "positions"]
+    types = [dealt.schema["k"].dataType, "long", "string", "string", "string", "double", "double", "long", "array<long>", "array<int>"]
 
     def row(doc, following):
         k, points, chosen, print_, distinct = doc
@@ -190,7 +192,7 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         got = winnow(new)
         return (
             k, len(points), hashlib.sha256(new.tobytes().decode("utf-32-le").encode("utf-8")).hexdigest(), print_, digest(*got),
-            likeness(distinct, np.unique(got[0])), likeness(distinct, following[4]), len(chosen[0]),
+            likeness(distinct, np.unique(got[0])), likeness(distinct, following[4]), len(chosen[0]), chosen[0].view(np.int64), chosen[1],
         )
 
     def run(batches):
