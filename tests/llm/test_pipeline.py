@@ -1,11 +1,10 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from tessera.llm import mixing, simhash, substrings
 from tessera.session import store
+from tests.llm.test_nearcopies import groups
 
 
 @pytest.fixture(scope="module")
@@ -28,19 +27,33 @@ def test_order_and_columns(stages):
 
 
 def test_near_duplicates(stages):
-    """One document a group, by brute force over what the stage was given."""
-    given = {r.doc_id: simhash.fingerprint(r.text or "") for r in stages[1]}
-    kept = {r.doc_id for r in stages[2]}
-    group = {d: d for d in given}
-    for d in sorted(given):
-        todo = [d] if group[d] == d else []
-        while todo:
-            a = todo.pop()
-            for b in given:
-                if group[b] == b and b > d and (given[a] ^ given[b]).bit_count() <= simhash.DISTANCE:
-                    group[b] = d
-                    todo.append(b)
-    assert kept == {d for d, g in group.items() if d == g}
+    """One document a group of 5-word Jaccard >= 0.8, by brute force over what the stage was given."""
+    assert {r.doc_id for r in stages[2]} == set(groups([(r.doc_id, r.text) for r in stages[1]]).values())
+
+
+def test_clashing_columns(spark):
+    """Extra columns, whatever their names, neither matter nor stay."""
+    rows = [(k, f"some words of document {k} that nobody else has, token = abcdefghijkl{k}", "en", "ab"[k % 2], 60) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    from unittest import mock
+
+    with mock.patch.object(P, "table", lambda *_: labels):
+        extra = docs.selectExpr("*", "'x' AS row", "1 AS spans", "2.5 AS score", "'y' AS k", "0 AS taken", "1 AS size", "true AS held", "'z' AS words", "1L AS component_id")
+        for name, stage in P.STAGES:
+            plain, odd = stage(spark, docs, ""), stage(spark, extra, "")
+            assert plain.columns == odd.columns and sorted(map(str, plain.collect())) == sorted(map(str, odd.collect())), name
+
+
+def test_border_keeps_its_line_breaks(spark):
+    rows = [(k, "\n a  b\tc \n\n d e\n" * 9, "en", "ab"[k > 1], 144) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    from unittest import mock
+
+    with mock.patch.object(P, "table", lambda *_: spark.createDataFrame([], "doc_id long, quality int, toxic int")):
+        got = P.mix_sources(spark, docs, "").collect()
+    assert got and all(rows[0][1].startswith(r.text) and r.n_chars == len(r.text) for r in got)
+    assert any(r.text != rows[0][1] for r in got)
 
 
 def test_secrets_are_masked_only(stages):

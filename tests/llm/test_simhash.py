@@ -94,3 +94,31 @@ def test_odd_rows(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
     one = simhash.near_duplicates(df.where("doc_id = 3")).collect()
     assert [r.component_id for r in one] == [3]
+
+
+def test_large_keys_are_dealt_again(spark):
+    """Fingerprints that all share keys, held by no task, link as others do."""
+    rnd = random.Random(6)
+    base = rnd.getrandbits(64)
+    values = {base}
+    while len(values) < 400:
+        v = base
+        for bit in rnd.sample(range(64), rnd.randrange(1, 6)):
+            v ^= 1 << bit
+        values.add(v)
+    df = spark.createDataFrame([(simhash.signed(v),) for v in sorted(values)], "fp long")
+    plain, again = ({tuple(r) for r in simhash.components(simhash.links(df, held=h)).collect()} for h in (simhash.HELD, 3))
+    assert plain == again and plain
+
+
+def test_hot_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_ROWS", 3)
+    rows = [(k, "the same words again and again" if k % 2 else f"other words {k} of its own kind") for k in range(60)] + [(None, None), (100, "")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, f"{r.fp % 2**64:016x}", r.component_id) for r in got), key=str) == sorted(brute_nulls(rows), key=str)
+
+
+def brute_nulls(rows):
+    """As brute, null ids ignored when the smallest is sought."""
+    big = 1 << 60
+    return {(None if d == big else d, fp, None if c == big else c) for d, fp, c in brute([(big if d is None else d, t) for d, t in rows])}
