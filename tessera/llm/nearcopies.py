@@ -13,8 +13,9 @@ pruned by parity bitmaps (two sets differ in as many elements at least as their
 then verified on whole sets.
 
 Only components are asked for, so a shingle's list is not expanded at once: a round compares each of
-its sets with one of them, and the last round compares all pairs that no component joins yet. A long
-list is cut into blocks there, and each pair of blocks is a group of its own.
+its sets with its ``PIVOTS`` most central ones, those that have the fewest rarer shingles before the
+common one (edits of a text are rare shingles), and the last round compares the pairs that no component
+joins yet. A long list is cut into blocks there, and each pair of blocks is a group of its own.
 
 Cases: null and empty texts have no shingles and are one node; a text under five words is one
 shingle; equal sets are one node, so copies are never expanded; repeated rows and ties are one node;
@@ -42,6 +43,8 @@ UP, DOWN = 4, 5
 BITS = 512
 #: One text in so many is looked at for frequent shingles, and the most that are kept.
 SAMPLE, FREQUENT = 16, 200_000
+#: Sets of a shingle's list that all its sets are compared with first.
+PIVOTS = 8
 #: Sets of a block of a shingle's list; a pair of blocks is compared in one group.
 BLOCK = 512
 #: Rows that may be broadcast: eight bytes each.
@@ -189,8 +192,9 @@ def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
         one = F.struct("node", "n", "pos", "root")
         named = named.withColumns({"split": split, "m": F.count("*").over(own)}).where("split").select("g", "m", one.alias("x"))
         if star:
-            first = F.min(F.struct(F.xxhash64("x.node"), F.col("x").alias("x"))).over(own)["x"]
-            met = named.withColumn("y", first)
+            named = store(named, "open")
+            place = F.row_number().over(own.orderBy("x.pos", F.xxhash64("x.node"), "x.node"))
+            met = named.join(named.withColumn("place", place).where(F.col("place") <= PIVOTS).select("g", F.col("x").alias("y")), "g")
         else:
             met = _block_pairs(store(named, "open"))
         met = met.where((F.col("x.root") != F.col("y.root")) & _possible(F.col("x"), F.col("y")))
