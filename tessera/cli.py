@@ -29,10 +29,11 @@ def main(args: list[str] | None = None, provider: Provider | None = None, spark:
     else:
         spark = spark or SparkSession.builder.appName("tessera").getOrCreate()
         if a.command == "inspect":
-            out = [r.asDict() for r in state.profile(sheet.read_sheet(spark, s.source)).collect()]
+            out = [{"sheet": name} | r.asDict() for name, df in sheet.read_sheets(spark, s.source).items() for r in state.profile(df).collect()]
         else:
             command = {"run": scenarios.tickets_to_base, "merge-base": scenarios.merge_base, "repair-base": scenarios.repair_base, "dedupe-base": scenarios.dedupe_base}[a.command]
             out = command(spark, s, provider, a.date)
+            state.call_summary(scenarios.Base(spark, s).calls()).show(truncate=False)
     print(out)
     return out
 

@@ -2,7 +2,11 @@
 
 A worker maps a row to an outcome; an exception in one row is an ``unhandled_error`` of that row.
 Outcomes are appended chunk by chunk as Parquet, so a run that ends early loses one chunk at most.
-Rows that a staging table covers are skipped, but for failures.
+Rows that a staging table covers are skipped, but for failures. Links are masked by expressions
+before the rows reach a worker; each row's outcome carries the calls made for it.
+
+Cases: null questions and answers are empty to a model; a reply without its shape is a failed call;
+an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -13,64 +17,77 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import links, text as X
+from tessera.functions import links
 from tessera.operators import state, validation
 from tessera.params import DEFAULTS, Params
-from tessera.providers import Provider, Retry
+from tessera.providers import CALLS, Model, Provider, Retry
 from tessera.session import attach
+from tessera.sources import files
 
 OUTCOME = (
     "row_number int, source_columns map<string,string>, question string, answer string, topic string, filtered boolean, failed array<string>, "
-    "reply struct<category:string,question:string,answer:string,reason:string,complete:boolean>, blocked string, error boolean, private boolean"
+    "reply struct<category:string,question:string,answer:string,reason:string,complete:boolean>, blocked string, error boolean, private boolean, " + CALLS
 )
+FIELDS = ["row_number", "source_columns", "question", "answer", "topic", "filtered", "failed", "reply", "blocked", "error", "private", "calls"]
+REPLY = ["category", "question", "answer", "reason", "complete"]
 Worker = Callable[[Provider, Retry, dict, Params], dict]
 
 
+def _nothing(filtered: bool) -> dict:
+    return {"filtered": filtered, "failed": [], "topic": "", "reply": None, "private": False}
+
+
+def _asked(method: str, provider: Provider, retry: Retry, row: dict, params: Params) -> dict | None:
+    """A reply on the masked texts, its links put back."""
+    masked = {"question": row["masked"][0], "answer": row["masked"][1]}
+    return links.ask(lambda hint: retry.call(method, lambda: getattr(provider, method)(masked, hint)), row["links"], params.link_attempts)
+
+
 def ticket(provider: Provider, retry: Retry, row: dict, params: Params) -> dict:
     """Gate, then rewrite what passes, links masked."""
-    out: dict = {"filtered": False, "failed": [], "topic": "", "reply": None, "private": False}
-    verdict = retry.call("filter", lambda: provider.filter(row))
+    verdict = retry.call("filter", lambda: provider.filter({"question": row["question"], "answer": row["answer"]}))
     if verdict is None:
-        return out
-    out |= {"filtered": True, "topic": verdict.get("topic") or "", "private": verdict.get("no_private_data") is False}
-    out["failed"] = [f for f in validation.GATING_FLAGS if verdict.get(f) is not True]
-    if len(out["failed"]) > params.max_doubtful_flags:
-        return out
-    (q, a), known = links.mask([row["question"], row["answer"]])
-    out["reply"] = links.ask(lambda hint: retry.call("rewrite", lambda: provider.rewrite({"question": q, "answer": a}, hint)), known, params.link_attempts)
+        return _nothing(False)
+    out = _nothing(True) | {"topic": verdict["topic"], "private": not verdict["no_private_data"]}
+    out["failed"] = [f for f in validation.GATING_FLAGS if not verdict[f]]
+    if len(out["failed"]) <= params.max_doubtful_flags:
+        out["reply"] = _asked("rewrite", provider, retry, row, params)
     return out
 
 
 def repair(provider: Provider, retry: Retry, row: dict, params: Params) -> dict:
     """Repair what has an answer; without one no model is asked."""
-    out: dict = {"filtered": True, "failed": [], "topic": "", "reply": None, "private": False}
+    out = _nothing(True)
     if (row["answer"] or "").strip():
-        (q, a), known = links.mask([row["question"], row["answer"]])
-        out["reply"] = links.ask(lambda hint: retry.call("repair", lambda: provider.repair({"question": q, "answer": a}, hint)), known, params.link_attempts)
+        out["reply"] = _asked("repair", provider, retry, row, params)
     return out
 
 
-def outcomes(pairs: DataFrame, worker: Worker, provider: Provider, params: Params = DEFAULTS, retry: dict | None = None) -> DataFrame:
-    """One outcome a row, by ``mapInPandas``; retries and pauses are each worker's own."""
+def outcomes(pairs: DataFrame, worker: Worker, model: Model | Provider, params: Params = DEFAULTS, retry: dict | None = None) -> DataFrame:
+    """One outcome a row, by ``mapInPandas``; retries and pauses are each task's own."""
     attach(pairs.sparkSession)
-    settings = retry or {}
-    names = ["category", "question", "answer", "reason", "complete"]
+    model = Model.of(model, retry)
+    provider, settings = model.provider, model.retry
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        calls = Retry(**settings)
         for batch in batches:
             out = []
             for r in batch.to_dict("records"):
-                calls = Retry(**settings)
+                row = r | {"masked": list(r["masked"]), "links": list(r["links"])}
                 try:
-                    got, error = worker(provider, calls, r, params), False
+                    got, error = worker(provider, calls, row, params), False
                 except Exception:
-                    got, error = {"filtered": False, "failed": [], "topic": "", "reply": None, "private": False}, True
-                reply = got["reply"]
-                blocked = next((c for c, _, result in calls.calls if result == "blacklist"), None)
-                out.append({**{k: r[k] for k in ("row_number", "source_columns", "question", "answer")}, **got, "reply": None if reply is None else {k: reply.get(k) for k in names}, "blocked": blocked, "error": error})
-            yield pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in ("row_number", "source_columns", "question", "answer", "topic", "filtered", "failed", "reply", "blocked", "error", "private")])
+                    got, error = _nothing(False), True
+                made = calls.taken()
+                reply = got["reply"] and {k: got["reply"].get(k) for k in REPLY}
+                blocked = next((c["caller"] for c in made if c["result"] == "blacklist"), None)
+                out.append({**{k: r[k] for k in FIELDS[:4]}, **got, "reply": reply, "blocked": blocked, "error": error, "calls": made})
+            yield pd.DataFrame(out, columns=FIELDS)
 
-    return pairs.select("row_number", "source_columns", "question", "answer").mapInPandas(run, OUTCOME)
+    m = links.mask_links(F.col("question"), F.col("answer"))
+    rows = pairs.select("row_number", "source_columns", "question", "answer", m.alias("m")).select("row_number", "source_columns", "question", "answer", F.col("m.texts").alias("masked"), "m.links")
+    return model.bounded(rows).mapInPandas(run, OUTCOME)
 
 
 def split(done: DataFrame, kind: str, source_file: str, run_date: str, categories: list[str], params: Params = DEFAULTS) -> tuple[DataFrame, DataFrame]:
@@ -96,32 +113,36 @@ def split(done: DataFrame, kind: str, source_file: str, run_date: str, categorie
     return validation.new_entries(good, source_file, run_date), bad
 
 
-def process_rows(pairs: DataFrame, kind: str, provider: Provider, staging: str, source_file: str, run_date: str, categories: list[str], params: Params = DEFAULTS, retry: dict | None = None, chunks: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected of all rows, old and new; staging holds outcomes by chunk."""
+def process_rows(pairs: DataFrame, kind: str, model: Model | Provider, staging: str, source_file: str, run_date: str, categories: list[str], params: Params = DEFAULTS, retry: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected of all rows, old and new; staging holds outcomes, ``chunk_rows`` at a time.
+
+    A chunk is committed when all its rows are done, so an early end costs the calls of one chunk.
+    """
     spark = attach(pairs.sparkSession)
+    model = Model.of(model, retry)
     worker = {"ticket": ticket, "repair": repair}[kind]
-    path = spark._jvm.org.apache.hadoop.fs.Path(staging)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    left = pairs
-    if there:
-        left = state.unfinished(pairs, *split(latest(spark.read.schema(OUTCOME + ", run int").parquet(staging)), kind, source_file, run_date, categories, params))
-    run = 1 + (spark.read.schema("run int").parquet(staging).agg(F.max("run")).first()[0] or 0) if there else 1
+    left, run = pairs, 1
+    if files.exists(spark, staging):
+        before = staged(spark, staging)
+        left = state.unfinished(pairs, *split(latest(before), kind, source_file, run_date, categories, params))
+        run = 1 + (before.agg(F.max("run")).first()[0] or 0)
+    chunks = -(-left.count() // params.chunk_rows)
     for k in range(chunks):
         part = left.where(F.pmod(F.xxhash64("row_number"), F.lit(chunks)) == k)
-        outcomes(part, worker, provider, params, retry).withColumn("run", F.lit(run)).write.mode("append").parquet(staging)
-    return split(latest(spark.read.schema(OUTCOME + ", run int").parquet(staging)), kind, source_file, run_date, categories, params)
+        outcomes(part, worker, model, params).withColumn("run", F.lit(run)).write.mode("append").parquet(staging)
+    if not files.exists(spark, staging):
+        return split(spark.createDataFrame([], OUTCOME), kind, source_file, run_date, categories, params)
+    done = staged(spark, staging)
+    model.note(done.where(F.col("run") == run))
+    return split(latest(done), kind, source_file, run_date, categories, params)
+
+
+def staged(spark, staging: str) -> DataFrame:
+    """All outcomes of a staging table, with the number of their run."""
+    return spark.read.schema(OUTCOME + ", run int").parquet(staging)
 
 
 def latest(done: DataFrame) -> DataFrame:
     """The last run's outcome of each row."""
     names = [c for c in done.columns if c != "run"]
     return done.groupBy("row_number").agg(F.max_by(F.struct(*[c for c in names if c != "row_number"]), "run").alias("o")).select("row_number", "o.*").select(*names)
-
-
-def links_hint(left: list[str], known: dict[str, str]) -> str:
-    return links.hint(left, known)
-
-
-def topic_of(text):
-    """A topic stand-in: the first words."""
-    return X.cut_sample(text, 60)

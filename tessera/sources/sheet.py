@@ -9,10 +9,10 @@ or answer column is an error, a missing extra one is skipped; an empty sheet giv
 
 from __future__ import annotations
 
+import io
 import re
 import zipfile
 from collections.abc import Iterable
-from pathlib import Path
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.params import DEFAULTS, Params
+from tessera.sources import files
 
 CORE = {"category": "Category", "question": "Question", "answer": "Answer", "source_file": "Source file", "source_rows": "Source rows", "updated_at": "Updated", "doubtful": "Doubtful"}
 REJECTED = ["source_row", "reason", "topic", "question", "answer", "model_question", "model_answer"]
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def _column(ref: str) -> int:
@@ -43,32 +45,50 @@ def _name(n: int) -> str:
     return out
 
 
-def read_cells(path: str) -> list[list[str | None]]:
-    """The first sheet's cells as text."""
-    with zipfile.ZipFile(path) as z:
-        names = z.namelist()
+def read_workbook(data: bytes) -> dict[str, list[list[str | None]]]:
+    """The cells of each sheet as text, in the workbook's order."""
+    tag = lambda name: f"{{{_NS['m']}}}{name}"
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = set(z.namelist())
         shared: list[str] = []
         if "xl/sharedStrings.xml" in names:
-            root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in root.findall("m:si", _NS)]
-        first = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[0]))
-        sheet = ET.fromstring(z.read(first))
-    out: list[list[str | None]] = []
-    for row in sheet.iter(f"{{{_NS['m']}}}row"):
-        number = int(row.get("r", len(out) + 1))
-        while len(out) < number - 1:
-            out.append([])
-        cells: list[str | None] = []
-        for c in row.findall("m:c", _NS):
-            at = _column(c.get("r")) if c.get("r") else len(cells)
-            cells += [None] * (at + 1 - len(cells))
-            kind, v = c.get("t", "n"), c.find("m:v", _NS)
-            if kind == "inlineStr":
-                cells[at] = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
-            elif v is not None and v.text is not None:
-                cells[at] = shared[int(v.text)] if kind == "s" else re.sub(r"\.0$", "", v.text)
-        out.append(cells)
-    return out
+            shared = ["".join(t.text or "" for t in si.iter(tag("t"))) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
+        targets = {r.get("Id"): r.get("Target").lstrip("/").removeprefix("xl/") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        listed = ET.fromstring(z.read("xl/workbook.xml")).iter(tag("sheet"))
+        sheets = {s.get("name"): ET.fromstring(z.read("xl/" + targets[s.get(_ID)])) for s in listed}
+    return {name: [_row_cells(cells, shared) for cells in _numbered_rows(sheet, tag("row"))] for name, sheet in sheets.items()}
+
+
+def _numbered_rows(sheet: ET.Element, row_tag: str) -> Iterable[ET.Element | None]:
+    """The rows of a sheet at their numbers, None for those that it leaves out."""
+    n = 0
+    for row in sheet.iter(row_tag):
+        number = int(row.get("r", n + 1))
+        yield from [None] * (number - 1 - n)
+        yield row
+        n = number
+
+
+def _row_cells(row: ET.Element | None, shared: list[str]) -> list[str | None]:
+    cells: list[str | None] = []
+    for c in () if row is None else row.findall("m:c", _NS):
+        at = _column(c.get("r")) if c.get("r") else len(cells)
+        cells += [None] * (at + 1 - len(cells))
+        kind, v = c.get("t", "n"), c.find("m:v", _NS)
+        if kind == "inlineStr":
+            cells[at] = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
+        elif v is not None and v.text is not None:
+            cells[at] = shared[int(v.text)] if kind == "s" else re.sub(r"\.0$", "", v.text)
+    return cells
+
+
+def _data(path: str) -> bytes:
+    return files.read(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate(), path)
+
+
+def read_cells(path: str) -> list[list[str | None]]:
+    """The first sheet's cells as text."""
+    return next(iter(read_workbook(_data(path)).values()), [])
 
 
 def write_cells(path: str, header: list[str], rows: Iterable[list], marked: Iterable[bool] = (), widths: list[int] | None = None, name: str = "Sheet1") -> None:
@@ -91,7 +111,7 @@ def write_cells(path: str, header: list[str], rows: Iterable[list], marked: Iter
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     pack = "http://schemas.openxmlformats.org/package/2006"
     kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-    files = {
+    parts = {
         "[Content_Types].xml": f'{head}<Types xmlns="{pack}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/><Override PartName="/xl/styles.xml" ContentType="{kind}.styles+xml"/></Types>',
         "_rels/.rels": f'{head}<Relationships xmlns="{pack}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
         "xl/workbook.xml": f'{head}<workbook {main} xmlns:r="{rel}"><sheets><sheet name="{escape(name)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
@@ -99,10 +119,11 @@ def write_cells(path: str, header: list[str], rows: Iterable[list], marked: Iter
         "xl/worksheets/sheet1.xml": sheet,
         "xl/styles.xml": styles,
     }
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for k, v in files.items():
+    book = io.BytesIO()
+    with zipfile.ZipFile(book, "w", zipfile.ZIP_DEFLATED) as z:
+        for k, v in parts.items():
             z.writestr(k, v)
+    files.write(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate(), path, book.getvalue())
 
 
 def _clean(value) -> str:
@@ -110,14 +131,29 @@ def _clean(value) -> str:
     return re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", "" if value is None else str(value))
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, with ``row_number`` as the sheet numbers its rows."""
-    cells = read_cells(path)
+def _table(spark: SparkSession, cells: list[list[str | None]]) -> DataFrame:
     header = [h or f"column_{k + 1}" for k, h in enumerate(cells[0])] if cells else []
     rows = [(n, *((c + [None] * len(header))[: len(header)])) for n, c in enumerate(cells[1:], 2)]
     return spark.createDataFrame(rows, "row_number int" + "".join(f", `{h}` string" for h in header))
 
 
+def read_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet: all columns as text, with ``row_number`` as the sheet numbers its rows."""
+    return _table(spark, read_cells(path))
+
+
+def read_sheets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """All sheets by name."""
+    return {name: _table(spark, cells) for name, cells in read_workbook(_data(path)).items()}
+
+
+def read_entries_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of a JSON list in a file, or in several; an absent file is an empty table."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def pairs(df: DataFrame, question: list[str], answer: list[str], extra: list[str] = (), params: Params = DEFAULTS) -> DataFrame:
     """(row_number, question, answer, source_columns): rows with a question or an answer."""
     missing = [c for c in (*question, *answer) if c not in df.columns]
@@ -161,7 +197,7 @@ def rejected_view(rejected: DataFrame) -> DataFrame:
 
 
 def write_view(view: DataFrame, path: str, mark: str | None = "Doubtful") -> None:
-    """The view as a workbook; the sink is one file, its rows stream through the driver."""
+    """The view as a workbook: one file, so its rows are on the driver; a view is what a reviewer reads."""
     names = view.columns
     at = names.index(mark) if mark in names else None
     rows = [list(r) for r in view.toLocalIterator()]

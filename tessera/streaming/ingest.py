@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import candidates, dedup
 from tessera.plans.scenarios import ENTRY, Base
-from tessera.providers import Provider
+from tessera.providers import Model, Provider
 from tessera.session import store
 
 
@@ -27,20 +27,20 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
         stream.close()
 
 
-def ingest(spark: SparkSession, base: Base, folder: str, checkpoint: str, provider: Provider, run_date: str) -> int:
+def ingest(spark: SparkSession, base: Base, folder: str, checkpoint: str, provider: Provider | Model, run_date: str) -> int:
     """Entries from Parquet files in ``folder`` merged into the base; the number of batches merged now."""
-    s, merged = base.settings, []
+    s, merged, model = base.settings, [], base.model(provider)
 
     def once(batch: DataFrame, number: int) -> None:
         name = f"batch-{stream_id(spark, checkpoint)}-{number}"
         if batch.isEmpty() or any(r["hash"] == name for r in base.ledger()):
             return
         new, entries = store(batch, "new"), base.entries()
-        both = (base.embeddings(new, provider), base.embeddings(entries, provider)) if s.embeddings else None
+        both = (base.embeddings(new, model), base.embeddings(entries, model)) if s.embeddings else None
         matches = candidates.candidate_matches(new, entries, both, params=s.params)
-        rows, counts, cache = dedup.merge_into_base(entries, new, matches, base.cache(), s.merge_strategy, list(s.categories), provider, run_date, s.params)
+        rows, counts, cache = dedup.merge_into_base(entries, new, matches, base.known("match"), s.merge_strategy, list(s.categories), model, run_date, s.params)
         base.commit(store(rows, "merged"), {"file": name, "path": folder, "hash": name, "processed_at": run_date, **counts})
-        base.remember(cache)
+        base.remember(cache, "match")
         merged.append(number)
 
     stream = spark.readStream.schema(ENTRY).option("maxFilesPerTrigger", 100).parquet(folder)
