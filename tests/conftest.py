@@ -26,3 +26,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf() -> str:
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def small(spark):
+    """Two partitions after an exchange, for tests of many small jobs."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -8,6 +8,7 @@ from tessera.plans import scenarios as S
 from tessera.providers import Blocked, RateLimited, Retry, Rules
 from tessera.sources import sheet
 
+pytestmark = pytest.mark.usefixtures("small")
 FAST = {"attempts": 2, "pause": 0.0}
 CATEGORIES = {"access": "Access", "forms": "Forms"}
 
