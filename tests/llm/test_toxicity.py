@@ -83,5 +83,37 @@ def test_held_out_documents(spark):
     rows = op9_toxicity(spark, sf).where("held_out").join(labels, "doc_id").collect()
     toxic = [r for r in rows if r.toxic == 1]
     clean = [r for r in rows if r.toxic == 0]
-    assert sum(r.predicted for r in toxic) > 0.8 * len(toxic)
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
     assert sum(r.predicted for r in clean) < 0.02 * len(clean)
+
+
+def test_query_against_loops(spark, sf):
+    """Scores of the query from the trained network by plain loops over words."""
+    from tessera.llm.queries import op9_toxicity
+
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    net, _ = X.fit(docs, labels, ~(X.crc_of_id() % 5 == 0))
+    got = {r.doc_id: r for r in op9_toxicity(spark, sf).collect()}
+    for r in docs.collect()[:60]:
+        words = X.words_of(r.text or "")
+        seen = [sum(net.vectors[p] for p in X.parts_of(w)) for w in words]
+        features = []
+        for width, kernel, bias in zip(X.WIDTHS, net.kernels, net.biases):
+            shown = [sum(seen[i + j] @ kernel[j] for j in range(width)) + bias for i in range(len(seen) - width + 1)]
+            features += list(np.maximum(0, np.max(shown, axis=0))) if shown else [0.0] * X.FILTERS
+        votes: dict = {}
+        for w in words:
+            if w in net.marks:
+                votes[net.marks[w]] = votes.get(net.marks[w], 0) + 1
+        lang = max(sorted(votes), key=votes.get) if votes else -1
+        z = (float(np.array(features) @ net.output) + net.offset - net.thresholds.get(lang, net.thresholds[-1])) * net.slope * 4
+        assert abs(got[r.doc_id].score - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-3
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+
+
+def test_languages_come_from_the_sample():
+    words = [["la", "casa", "x"], ["la", "mesa"], ["the", "house", "x"], ["the", "table"], ["ein", "haus", "x"], ["no", "label"]]
+    marks = X.markers(words, ["es", "es", "en", "en", "de", None])
+    assert marks["la"] == 2 and marks["the"] == 1 and marks["ein"] == 0 and "x" not in marks and "no" not in marks
+    assert [X.language_of(w, marks) for w in (["the", "la", "the"], ["x"], [])] == [1, -1, -1]
+    assert X.markers(words, []) == {}
