@@ -353,7 +353,7 @@ def _greedy(name: str, edges: str) -> str:
     """SQL of greedy groups (member, representative) over edges (i, j): nodes in order of rank, each looking for a representative among its neighbours."""
     return f"""{name}_b AS (SELECT i AS a, j AS b FROM {edges} UNION SELECT j, i FROM {edges}),
 {name}_n AS (SELECT ord, row_number() OVER (ORDER BY -length(answer), ord) AS k FROM e),
-{name}_l AS (SELECT n.ord, n.k, coalesce(list(b.b) FILTER (b.b IS NOT NULL), []) AS near FROM {name}_n n LEFT JOIN {name}_b b ON b.a = n.ord GROUP BY 1, 2),
+{name}_l AS MATERIALIZED (SELECT n.ord, n.k, coalesce(list(b.b) FILTER (b.b IS NOT NULL), []) AS near FROM {name}_n n LEFT JOIN {name}_b b ON b.a = n.ord GROUP BY 1, 2),
 {name}_r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS heads UNION ALL
   SELECT l.k, CASE WHEN list_has_any(l.near, r.heads) THEN r.heads ELSE list_append(r.heads, l.ord) END FROM {name}_r r JOIN {name}_l l ON l.k = r.k + 1),
 {name}_h AS (SELECT unnest(heads) AS head FROM {name}_r WHERE k = (SELECT count(*) FROM e)),
@@ -397,7 +397,7 @@ def same_answer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _assigned(matches: str) -> str:
     """SQL of the greedy assignment over (new_id, base_id): each new row in order takes the first base row that is free."""
-    return f"""o AS (SELECT new_id, list(base_id ORDER BY base_id) AS bases, row_number() OVER (ORDER BY new_id) AS k FROM {matches} GROUP BY new_id),
+    return f"""o AS MATERIALIZED (SELECT new_id, list(base_id ORDER BY base_id) AS bases, row_number() OVER (ORDER BY new_id) AS k FROM {matches} GROUP BY new_id),
 a AS (SELECT 0::BIGINT AS k, NULL::BIGINT AS new_index, NULL::BIGINT AS base_index, []::BIGINT[] AS used UNION ALL
   SELECT k, new_id, f[1], CASE WHEN len(f) = 0 THEN used ELSE list_append(used, f[1]) END
   FROM (SELECT o.k, o.new_id, a.used, list_filter(o.bases, lambda b: NOT list_contains(a.used, b)) AS f FROM a JOIN o ON o.k = a.k + 1)),
