@@ -1,10 +1,13 @@
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline as P
 from tessera.llm import nearcopies
 
+pytestmark = pytest.mark.usefixtures("small")
+
 
 def grams(text: str | None) -> set:
     words = (text or "").encode().lower().split()

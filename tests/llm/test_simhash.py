@@ -1,10 +1,13 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from tessera.llm import simhash
 
+pytestmark = pytest.mark.usefixtures("small")
+
 
 def brute(rows: list[tuple[int, str | None]]) -> dict:
     """Fingerprints bit by bit, all pairs, components by union."""
