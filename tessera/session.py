@@ -9,6 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch on its way to a Python worker, unless the session sets its own.
+BATCH_BYTES = 4 << 20
+_BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b")
 #: Bytes of a Parquet row group of a stored table.
 ROW_GROUP = 32 << 20
 ROOT = str(Path(__file__).resolve().parent.parent)
@@ -20,6 +23,8 @@ def attach(spark: SparkSession) -> SparkSession:
     On a cluster the package is installed on the nodes or shipped with ``--py-files``; in local
     runs the workers only need the folder on their path.
     """
+    if spark.conf.get(*_BATCH_BYTES) == _BATCH_BYTES[1]:  # as Spark has it: whole texts need smaller batches
+        spark.conf.set(_BATCH_BYTES[0], str(BATCH_BYTES))
     env = spark.sparkContext.environment
     path = env.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
