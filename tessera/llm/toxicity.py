@@ -25,6 +25,7 @@ overlap by the widest filter; of those in the sample the first ``LEARN_CHARS`` c
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from dataclasses import dataclass, field
 
@@ -69,14 +70,14 @@ def markers(texts_: list[list[str]], langs: list[str | None]) -> dict[str, int]:
     words do not vote; the most frequent ones are taken, ties in the order of the words.
     """
     names = sorted({lang for lang in langs if lang})
-    texts_of = [[set(w) for w, lang in zip(texts_, langs) if lang == name] for name in names]
-    share: list[dict[str, float]] = []
-    for each in texts_of:
-        count: dict[str, int] = {}
-        for words in each:
-            for w in words:
+    counts: dict[str, dict[str, int]] = {name: {} for name in names}
+    for words, lang in zip(texts_, langs):
+        if lang:
+            count = counts[lang]
+            for w in set(words):
                 count[w] = count.get(w, 0) + 1
-        share.append({w: n / len(each) for w, n in count.items()})
+    sizes = {name: langs.count(name) for name in names}
+    share = [{w: n / sizes[name] for w, n in counts[name].items()} for name in names]
     out = {}
     for k, own in enumerate(share):
         others = [s for j, s in enumerate(share) if j != k]
@@ -351,7 +352,8 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_
     texts_ = docs.select(F.col(key).alias("k"), F.substring(F.coalesce(text, F.lit("")), 1, LEARN_CHARS).alias("text"), name.alias("lang"))
     one = F.min_by(F.struct("text", "lang"), F.struct(F.md5("text"), "lang"))
     found = texts_.join(chosen, F.col("k") == F.col("_k")).groupBy("k", "y", "h").agg(one.alias("t")).select("h", "y", "t.*").collect()
-    return [(words_of(r.text), r.y, r.lang) for r in sorted(found, key=lambda r: (r.h, r.text, r.y))]
+    # a word is one object, however often the sample has it
+    return [(list(map(sys.intern, words_of(r.text))), r.y, r.lang) for r in sorted(found, key=lambda r: (r.h, r.text, r.y))]
 
 
 def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), prior: float = 0.0) -> DataFrame:
