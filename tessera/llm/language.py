@@ -42,6 +42,8 @@ from tessera.llm.arrow import map_tasks, texts
 #: Most labelled texts of each language that training reads, and the most characters of each.
 SAMPLE, LEARN_CHARS = 300, 40_000
 ROUNDS, PRIOR = 3, 2000.0
+#: Languages up to which the sample's small tables are broadcast.
+LANGUAGES = 1000
 #: Letters of a word that is scored together with others of its length.
 LONGEST = 40
 #: Letters whose pieces are looked up at once in a long word.
@@ -291,14 +293,16 @@ def train(docs: DataFrame, allowed: Column, path: str, key: str = "doc_id", text
     """
     known = docs.where(allowed & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lang).alias("l"))
     sizes = known.groupBy("l").agg(F.count("*").alias("n"))
+    # a row a language, and SAMPLE of each at most: broadcast where there are few languages
+    few = (lambda t: F.broadcast(t)) if sizes.count() <= LANGUAGES else (lambda t: t)
     h = F.md5(F.col("k").cast("string"))
     even = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
     # four standard deviations more than wanted, for repeats and chance
-    below = known.join(sizes, "l").where(even * F.col("n") <= SAMPLE + 4 * SAMPLE**0.5 + 8).select("k", "l", h.alias("h")).distinct()
+    below = known.join(few(sizes), "l").where(even * F.col("n") <= SAMPLE + 4 * SAMPLE**0.5 + 8).select("k", "l", h.alias("h")).distinct()
     order = Window.partitionBy("l").orderBy("h", "k")
     chosen = below.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).select("k", "l")
     part = docs.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.substring(F.coalesce(text, F.lit("")), 1, LEARN_CHARS).alias("t"))
-    found = part.join(chosen, ["k", "l"]).groupBy("k", "l").agg(F.min_by("t", F.md5("t")).alias("t")).select("l", "t")
+    found = part.join(few(chosen), ["k", "l"]).groupBy("k", "l").agg(F.min_by("t", F.md5("t")).alias("t")).select("l", "t")
     samples: dict[str, Counter] = {}
     for name, value in found.collect():
         samples.setdefault(name, Counter()).update(words_of(value))
