@@ -1,8 +1,8 @@
 """BPE encoding and decoding: speculate and verify.
 
 Text is normalised and cut into words as the vocabulary file's own pipeline does (added tokens cut
-out first, NFC, runs of white space to one space, lower case by code point, the split pattern,
-bytes as printable characters, ``</w>`` on a word's last character). For the words that a worker
+out first, NFC, lower case by code point, the split pattern, which drops white space, bytes as
+printable characters, ``</w>`` on a word's last character). For the words that a worker
 has not met yet, greedy longest-match proposes tokens; each distinct pair of adjacent proposed
 tokens is then checked for compatibility - whether merging exactly the two tokens' symbols gives
 those two tokens back - for all words together; a word whose pairs are all compatible has its exact
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from functools import lru_cache
 from itertools import chain
@@ -77,19 +78,22 @@ class Vocabulary:
         self.pattern = regex.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+", regex.V0
         )
-        self.spaces = regex.compile(f"[{SPACES}]+")
+        self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.chars = byte_characters()
         self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
-        self.words: dict[str, tuple[list[int], str]] = {}
+        #: Ids and ids joined of words, and of added tokens by their ids.
+        self.fixed: dict[str | int, tuple[list[int], str]] = {i: ([i], str(i)) for i in self.added.values()}
+        self.words = dict(self.fixed)
 
     # -- cutting
 
     def cut(self, text: str) -> list[str]:
-        """The words of a stretch of text without added tokens."""
+        """The words of a stretch of text without added tokens; no word holds white space, so runs of it stay as they are."""
+        if text.isascii():  # NFC already
+            return self.plain.findall(text.lower())
         text = unicodedata.normalize("NFC", text)
-        text = self.spaces.sub(" ", text)
         if "Σ" in text:  # lower case by code point knows no final sigma
             text = text.replace("Σ", "σ")
         return self.pattern.findall(text.lower())
@@ -118,16 +122,16 @@ class Vocabulary:
         """Merge the best pair again and again, the leftmost of equals."""
         if len(ids) > 64:
             return self.merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            best, at, new = 1 << 60, -1, 0
-            for k in range(len(ids) - 1):
-                m = merges.get((ids[k], ids[k + 1]))
-                if m and m[0] < best:
-                    best, at, new = m[0], k, m[1]
-            if at < 0:
-                break
-            ids[at : at + 2] = [new]
+        seen, none = self.merges.get, (1 << 60, -1)
+        found = [seen(p, none) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) is not none:
+            k = found.index(best)
+            ids[k : k + 2] = [best[1]]
+            del found[k]
+            if k:
+                found[k - 1] = seen((ids[k - 1], ids[k]), none)
+            if k < len(found):
+                found[k] = seen((ids[k], ids[k + 1]), none)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
@@ -183,7 +187,7 @@ class Vocabulary:
     def learn(self, words: list[str]) -> dict[str, int]:
         """Encode new words into the memory; counts of proposed and of exactly merged words."""
         if len(self.words) + len(words) > WORDS:
-            self.words.clear()
+            self.words = dict(self.fixed)
         if len(self.pairs) > PAIRS:
             self.pairs.clear()
         chars = self.chars
@@ -226,14 +230,15 @@ class Vocabulary:
             else:
                 parts = self.cut(text)
             cut.append(parts)
-        known = self.words
-        new = {w for parts in cut for w in parts if w not in known and not isinstance(w, int)}
+        words = set().union(*cut)
+        new = words.difference(self.words)
         if new:
-            if len(known) + len(new) > WORDS:
-                known.clear()
-                new = {w for parts in cut for w in parts if not isinstance(w, int)}
-            self.learn(sorted(new))
-        return [[([w], str(w)) if isinstance(w, int) else known[w] for w in parts] for parts in cut]
+            if len(self.words) + len(new) > WORDS:
+                self.words = dict(self.fixed)
+                new = words.difference(self.words)
+            self.learn(list(new))
+        known = self.words.__getitem__
+        return [list(map(known, parts)) for parts in cut]
 
     def encode(self, text: str | None) -> list[int]:
         return [i for ids, _ in self.encode_batch([text or ""])[0] for i in ids]

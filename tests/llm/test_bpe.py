@@ -68,3 +68,27 @@ def test_table(spark, library):
     digests = bpe.digests(df, "doc_id", "text", PATH).collect()
     assert sorted(r.n_tokens for r in digests) == [0, 0, 2, 2]
     assert bpe.digests(df.limit(0), "doc_id", "text", PATH).count() == 0
+
+
+def test_each_pair_is_looked_up_a_few_times(own):
+    """Exact merging looks up a pair when it comes to be, not all pairs again for each merge."""
+    class Counted(dict):
+        n = 0
+
+        def get(self, *a):
+            Counted.n += 1
+            return super().get(*a)
+
+    ids = own.base("internationalisation" * 3, True)
+    expected = own.merge_long(list(ids))
+    merges, own.merges = own.merges, Counted(own.merges)
+    try:
+        assert own.merge(list(ids)) == expected
+    finally:
+        own.merges = merges
+    assert Counted.n <= 3 * len(ids)
+
+
+def test_white_space_of_any_kind_parts_words(library, own):
+    for text in ("a\t\n b\x0b\x0cc\r\nd", "a\x1cb\x1d \x1ec\x1fd", "É 　x\x85y\xa0 z​w", "  it's\n\n'LL 'x ''s 'S ", "A1B22 c_d-e\x7f\x00"):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, text
